@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from evidar.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from evidar.llm.token_counts import op1_token_counts
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
