@@ -21,6 +21,7 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
