@@ -5,12 +5,14 @@ from __future__ import annotations
 from evidar.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from evidar.llm.language_id import op6_language_id
 from evidar.llm.mixing import op10_source_mixing
+from evidar.llm.near_dedup import op5_simhash_near_dedup
 from evidar.llm.packing import op4_packing
 from evidar.llm.token_counts import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op4_packing": op4_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mixing": op10_source_mixing,
@@ -18,6 +20,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op4_packing": op4_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op9_exact_dedup": OP9_SQL,
 }
