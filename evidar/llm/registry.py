@@ -8,9 +8,11 @@ from evidar.llm.mixing import op10_source_mixing
 from evidar.llm.near_dedup import op5_simhash_near_dedup
 from evidar.llm.packing import op4_packing
 from evidar.llm.token_counts import op1_token_counts
+from evidar.llm.warc import OP3_SQL, op3_warc_salvage
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_warc_salvage": op3_warc_salvage,
     "op4_packing": op4_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
@@ -19,6 +21,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_warc_salvage": OP3_SQL,
+    "op3_warc_salvage": op3_warc_salvage,
     "op4_packing": op4_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
