@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from evidar.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from evidar.llm.language_id import op6_language_id
+from evidar.llm.lm_scoring import op7_lm_scoring
 from evidar.llm.mixing import op10_source_mixing
 from evidar.llm.near_dedup import op5_simhash_near_dedup
 from evidar.llm.packing import op4_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
+    "op7_lm_scoring": op7_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
