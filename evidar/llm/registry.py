@@ -8,11 +8,13 @@ from evidar.llm.lm_scoring import op7_lm_scoring
 from evidar.llm.mixing import op10_source_mixing
 from evidar.llm.near_dedup import op5_simhash_near_dedup
 from evidar.llm.packing import op4_packing
+from evidar.llm.substring_dedup import op2_substring_dedup
 from evidar.llm.token_counts import op1_token_counts
 from evidar.llm.warc import OP3_SQL, op3_warc_salvage
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_warc_salvage": op3_warc_salvage,
     "op4_packing": op4_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
