@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from evidar.llm.audio import op8_chroma_fingerprints
 from evidar.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from evidar.llm.language_id import op6_language_id
 from evidar.llm.lm_scoring import op7_lm_scoring
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_lm_scoring": op7_lm_scoring,
+    "op8_chroma_fingerprints": op8_chroma_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
