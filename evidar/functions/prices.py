@@ -20,9 +20,14 @@ ESTIMATOR_TYPES = {
     "sold_last_ask": "last_public_price", "sold_explicit": "last_public_price", "last_public_price": "last_public_price",
     "verified_sale": "verified_sale", "buyout": "unknown",
 }
-URGENT_WORDS = ("急售", "急出", "急賣", "快速出售")
-URGENT_NEGATED = ("不急售", "非急售", "不急出", "不急賣")
-BROKERAGE_WORDS = ("含仲介", "仲介費", "含中介", "中介費")
+URGENT_WORDS = ("急售", "急出")
+URGENT_NEGATED = ("不急售", "非急售", "不急出", "無急售", "没有急售", "沒有急售")
+BROKERAGE_WORDS = ("含仲",)
+PRICE_TERM = r"[0-9]+(?:\.[0-9]+)?\s*萬|[0-9]{3,}\s*(?:元|台幣|NTD)?"
+INSTALLMENT = r"分期|分\s*(?:[0-9]+|[一二三四五六七八九十]+)\s*期"
+SURCHARGE = r"(?:另加|加收|加價|加\s*價|超過\s*(?:一|1)\s*期\s*加|(?:分期|期付款)[^，。；;]{0,24}?加)\s*(?:NTD|台幣|元|\$)?\s*[0-9]+"
+SALE_EXCHANGE = r"(?:售|出)\s*(?:／|/)\s*(?:換|换)|(?:換|换)\s*(?:／|/)\s*(?:售|出)"
+URGENT_TYPES = ("asking", "normal_listing", "reduced", "instant", "instant_price", "quick_sale", "buyout")
 
 
 def vocabulary(value: Column, words: dict[str, str], default: str = "unknown") -> Column:
@@ -51,21 +56,29 @@ def urgent_claim(text: Column) -> Column:
 
 
 def urgent_override(price_type: Column, text: Column) -> Column:
-    """An asking or unknown price whose text claims urgency is an urgent sale; sale claims stay what they are."""
-    known = F.coalesce(price_type, F.lit("unknown"))
+    """A listing type whose text claims urgency is an urgent sale; claimed sales are sale claims whatever the text says."""
+    known = F.lower(F.trim(F.coalesce(price_type, F.lit("unknown"))))
     line = F.when(known.isin("sold_explicit", "sold_last_ask"), "sold_claim").when(known == "asking", "normal_listing").otherwise(known)
-    return F.when(urgent_claim(text) & known.isin("asking", "normal_listing", "unknown"), "urgent_sale").otherwise(line)
-
-
-def brokerage_claim(text: Column) -> Column:
-    return F.coalesce(text, F.lit("")).rlike(_any(BROKERAGE_WORDS))
-
-
-def price_terms(text: Column) -> Column:
-    """How many amounts with a unit of money stand in the text."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[0-9]+(\.[0-9]+)?\s*(萬|万|元|台幣|[kK])"))
-
-
-def installment_surcharge(text: Column) -> Column:
-    """Installments that cost more; installments alone are no surcharge."""
-    return F.coalesce(text, F.lit("")).rlike(r"分.{0,3}期.*(加|\+)\s*[0-9]+") | F.coalesce(text, F.lit("")).rlike(r"分期\s*[0-9]")
+    return F.when(urgent_claim(text) & known.isin(*URGENT_TYPES), "urgent_sale").otherwise(line)
+
+
+def price_semantic_review(text: Column, price_type: Column) -> Column:
+    """What keeps a price from being one cash price for one account: brokerage within it, or terms that
+    give several prices. Null where nothing does; an amount is never chosen."""
+    said = F.coalesce(text, F.lit(""))
+    brokerage = said.rlike(_any(BROKERAGE_WORDS))
+    badges = said.contains("含勳章") & said.contains("不含勳章") & said.contains("分期") & (F.regexp_count(said, F.lit(PRICE_TERM)) >= 3)
+    surcharge = said.rlike(INSTALLMENT) & said.rlike("(?i)" + SURCHARGE)
+    several = badges | surcharge
+    codes = F.array_compact(F.array(
+        F.when(brokerage, "brokerage_included_price"), F.when(several, "multiple_price_terms"),
+        F.when(badges, "badge_inclusion_price_variants"), F.when(several, "installment_price_variants")))
+    review = F.struct(
+        F.when(price_type == "urgent_sale", "urgent_sale").otherwise("unknown").alias("urgency"), brokerage.alias("brokerage_included"), several.alias("multi_price"),
+        F.lit("text_claim").alias("evidence_state"), F.lit("needs_review").alias("review_status"), codes.alias("reason_codes"))
+    return F.when(brokerage | several, review)
+
+
+def sale_and_exchange(text: Column) -> Column:
+    """Cash and exchange offered together: a mixed offer, whose entity kind is unknown."""
+    return F.coalesce(text, F.lit("")).rlike(SALE_EXCHANGE)
