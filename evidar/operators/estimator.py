@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidar.functions import similarity as sim
 from evidar.functions.gates import reason_codes
+from evidar.sources.stages import staged
 
 TOP = 5
 RESOURCES = ("white_candles", "hearts", "red_candles", "season_candles")
@@ -110,32 +111,39 @@ def estimate(targets: DataFrame, comparables: DataFrame) -> tuple[DataFrame, Dat
     pairs = right.crossJoin(F.broadcast(left)).withColumn("codes", hard_pool_codes("t", "c"))
     price = F.col("c.selected_price_twd")
     pairs = pairs.withColumn("codes", F.when(F.coalesce(price >= 0, F.lit(False)), F.col("codes")).otherwise(F.array_append("codes", "price_missing_or_invalid")))
-    pool = pairs.where(F.size("codes") == 0)
+    pool = staged(pairs.where(F.size("codes") == 0).drop("codes"), "estimate-pool")
     exact = F.coalesce(F.col("t.base_account_type") == F.col("c.base_account_type"), F.lit(False))
     # few comparables of a target pass the pool; they alone are gathered
     by_target = Window.partitionBy("target_id")
     pool = pool.withColumn("exact", exact).withColumn("n_exact", F.count_if("exact").over(by_target))
-    pool = pool.withColumn("codes", F.when((F.col("n_exact") >= 3) & ~F.col("exact"), F.array(F.lit("account_type_family_not_needed"))).otherwise(F.col("codes")))
     values, flags = dimensions("t", "c")
     parts = sim.weighted(values, sim.WEIGHTS)
-    scored = pool.withColumns({f"s_{k}": v for k, v in parts.items()} | {f"k_{k}": v for k, v in flags.items()})
+    scored = staged(pool.withColumns({f"s_{k}": v for k, v in parts.items()} | {f"k_{k}": v for k, v in flags.items()}).select(
+        "target_id", F.col("c.comparable_id").alias("comparable_id"), F.col("c.input_ordinal").alias("input_ordinal"), F.col("c.selected_price_twd").alias("price"),
+        "exact", "n_exact", *[f"s_{k}" for k in parts], *[f"k_{k}" for k in flags]), "estimate-scores")
     parts, flags = {k: F.col(f"s_{k}") for k in parts}, {k: F.col(f"k_{k}") for k in flags}
-    content = sum((flags[k].cast("int") for k in CONTENT_DIMENSIONS), F.lit(0))
-    scored = scored.withColumn("score", sim.total(parts)).withColumn("content", content)
-    quality = F.array_compact(F.array(F.when(F.col("score") < sim.MIN_SCORE, "similarity_below_minimum"), F.when(F.col("content") < sim.MIN_CONTENT_DIMENSIONS, "too_few_content_dimensions")))
-    scored = scored.withColumn("codes", F.when(F.size("codes") == 0, quality).otherwise(F.col("codes")))
-    ranked = top_k(scored.where(F.size("codes") == 0), ["target_id"], [F.desc("score"), F.asc("c.input_ordinal")], 1 << 30)
-    ranked = ranked.withColumn("codes", F.when(F.col("place") > TOP, F.array(F.lit("lower_rank_not_retained"))).otherwise(F.col("codes")))
+    content = F.lit(0)
+    for k in CONTENT_DIMENSIONS:
+        content = content + flags[k].cast("int")
+    scored = scored.withColumn("score", sim.total(parts))
+    codes = reason_codes([
+        ("account_type_family_not_needed", (F.col("n_exact") >= 3) & ~F.col("exact")),
+        ("similarity_below_minimum", F.col("score") < sim.MIN_SCORE), ("too_few_content_dimensions", content < sim.MIN_CONTENT_DIMENSIONS)])
+    scored = staged(scored.withColumn("codes", codes), "estimate-codes")
+    order = Window.partitionBy("target_id").orderBy(F.desc("score"), "input_ordinal")
+    ranked = scored.where(F.size("codes") == 0).withColumn("place", F.row_number().over(order))
     said = sim.describe(parts, flags, sim.WEIGHTS, sim.EXCLUSIVE_DIMENSIONS)
     top = ranked.where(F.col("place") <= TOP).withColumns(said)
+    price = F.col("price")
     estimates = top.groupBy("target_id").agg(
         F.count(F.lit(1)).alias("comparables"), F.min(price).alias("low"), F.max(price).alias("high"), F.array_sort(F.collect_list(price)).alias("prices"),
-        F.array_sort(F.collect_list(F.struct("place", F.col("c.comparable_id").alias("comparable_id"), "score", *said))).alias("explanations"))
+        F.array_sort(F.collect_list(F.struct("place", "comparable_id", "score", *said))).alias("explanations"))
     upper = F.element_at("prices", (F.floor(F.size("prices") / 2) + 1).cast("int"))
     enough = F.col("comparables") >= 3
     estimates = left.select("target_id").join(estimates, "target_id", "left").select(
         "target_id", F.when(enough, "estimated").otherwise("insufficient_comparables").alias("status"), F.coalesce("comparables", F.lit(0)).alias("comparables"),
         *[F.when(enough, v).alias(n) for n, v in (("low", F.col("low")), ("median", upper), ("high", F.col("high")))], "explanations")
-    row = ("target_id", F.col("c.comparable_id").alias("comparable_id"), "codes")
-    ledger = pairs.where(F.size("codes") > 0).select(*row).unionByName(scored.where(F.size("codes") > 0).select(*row)).unionByName(ranked.select(*row))
+    rest = F.when(F.col("place") > TOP, F.array(F.lit("lower_rank_not_retained"))).otherwise(F.col("codes"))
+    ledger = pairs.where(F.size("codes") > 0).select("target_id", F.col("c.comparable_id").alias("comparable_id"), "codes").unionByName(
+        scored.where(F.size("codes") > 0).select("target_id", "comparable_id", "codes")).unionByName(ranked.select("target_id", "comparable_id", rest.alias("codes")))
     return estimates, ledger
