@@ -28,9 +28,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_warc_salvage": OP3_SQL,
-    "op3_warc_salvage": op3_warc_salvage,
-    "op4_packing": op4_packing,
-    "op5_simhash_near_dedup": op5_simhash_near_dedup,
-    "op6_language_id": op6_language_id,
     "op9_exact_dedup": OP9_SQL,
 }
