@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -19,23 +20,51 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidar.llm.common import table, written
+from evidar.llm.token_counts import byte_letters, merge_table
 from evidar.llm.words import WordCache, grouped
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
+#: Words, and pre-tokens, whose ids a worker holds (twice as many just after a change of generation).
+CACHED_WORDS = 200_000
 BIN = 8
 _BIG = 1 << 48
 #: Salts among which the pieces of a length are ranked; more where there are more than 20,000 pieces a salt.
 SALTS = 256
 
 
+class Encoder:
+    """Ids (little-endian, unsigned, 32 bits) of white-space words as the library gives them."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library, self.table = Tokenizer.from_file(path), merge_table(path)
+        self.letters = dict(enumerate(byte_letters()))
+        self.known = WordCache(self._pre_tokens, CACHED_WORDS)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _pre_tokens(self, tokens: list[str]) -> list[bytes]:
+        """Of pre-tokens, by the library's model alone: each byte as its letter."""
+        merge, out = self.library.model.tokenize, []
+        for token in tokens:
+            found = merge(token if token.isascii() and token.isprintable() else token.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
+            out.append(pack_ids(f"<{len(found)}I", *[t.id for t in found]))
+        return out
+
+    def words(self, words: list[str]) -> list[bytes]:
+        parts = [None if "<|" in w else self.table.pre_tokens(w) for w in words]
+        self.known.learn({t for p in parts if p is not None for t in p})
+        get = self.known.__getitem__
+        return [self._ids(w) if p is None else get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for w, p in zip(words, parts)]
+
+
 @lru_cache(2)
 def _cache(path: str) -> WordCache:
-    from tokenizers import Tokenizer
-
-    encode = Tokenizer.from_file(path).encode_batch
-    return WordCache(lambda words: [np.array(e.ids, "<u4").tobytes() for e in encode(words, add_special_tokens=False)])
+    return WordCache(Encoder(path).words, CACHED_WORDS)
 
 
 def cut(texts: list[str | None], path: str, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:

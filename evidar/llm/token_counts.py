@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ class MergeTable:
         model, vocab = spec["model"], spec["model"]["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
         self.size = max(vocab.values()) + 1
-        letters = _byte_letters()
+        letters = byte_letters()
         self.first = np.array([vocab[letters[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[letters[b] + self.end] for b in range(256)], np.int64)
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -55,8 +56,11 @@ class MergeTable:
     def pre_tokens(self, part: str) -> list[str]:
         """Of a part of a word in which no special string stands."""
         if part.isascii():
-            return self.split_ascii.findall(part.lower())
-        return self.split.findall(self.normaliser.normalize_str(part))
+            low = part.lower()
+            return [low] if low.isalpha() else self.split_ascii.findall(low)
+        # the library lowers each character by itself, so a final sigma stays as it is there
+        low = part.lower() if is_normalized("NFC", part) and "\u03a3" not in part else self.normaliser.normalize_str(part)
+        return [low] if low.isalpha() else self.split.findall(low)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and place in the table of each pair; _NO_RANK where there is no merge."""
@@ -123,7 +127,7 @@ def _apart(hit: np.ndarray) -> np.ndarray:
     return out
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The character that stands for each byte: itself where it is printable, else one from U+0100 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spare = iter(range(256, 512))

@@ -35,21 +35,27 @@ def split_words(text: str) -> list[str]:
 
 
 class WordCache(dict):
-    """Values by word; resolve() finds those of new words all at once. Emptied when it is full."""
+    """Values by word; resolve() finds those of new words all at once. When it is full it begins anew,
+    and words in use are taken over from what it held before."""
 
-    def __init__(self, resolve: Callable[[list[str]], list], limit: int = 300_000):
+    def __init__(self, resolve: Callable[[list[str]], list], limit: int = 100_000):
         super().__init__()
         self.resolve, self.limit = resolve, limit
+        self.before: dict = {}
 
     def learn(self, words: set[str]) -> None:
-        new = words - self.keys()
+        """After this the cache has all of words (of words learned before perhaps not)."""
+        new = [w for w in words if w not in self]
         if not new:
             return
         if len(self) + len(new) > self.limit:
+            self.before = dict(self)
             self.clear()
-            new = words
-        order = list(new)
-        self.update(zip(order, self.resolve(order)))
+            new = list(words)
+        if self.before:
+            self.update((w, self.before[w]) for w in new if w in self.before)
+            new = [w for w in new if w not in self]
+        self.update(zip(new, self.resolve(new)))
 
 
 def grouped(texts: list[str | None], size: int = CHUNK_CHARS) -> Iterator[tuple[list[tuple[int, list[str]]], set[str]]]:
