@@ -45,65 +45,70 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def spans(text: str, sentences_at_least: int = SPAN_SENTENCES, words_at_least: int = SPAN_WORDS) -> list[tuple[int, int, int]]:
+def run_ends(sizes: list[int], how: tuple[int, int]) -> list[int]:
+    """For each sentence (of so many words) the end of the run that begins with it; as far as runs end in the text."""
+    before = np.cumsum([0, *sizes])
+    ends = np.maximum(np.arange(len(sizes)) + how[0], np.searchsorted(before, before[:-1] + how[1]))
+    return ends[ends <= len(sizes)].tolist()
+
+
+def spans(text: str, how: tuple[int, int] = (SPAN_SENTENCES, SPAN_WORDS)) -> list[tuple[int, int, int]]:
     """(hash, first sentence, sentences) of the run that begins with each sentence; none where the text ends before."""
     parts = [text[a:b].split() for a, b in sentences(text)]
     digests = [xxh64_intdigest(" ".join(p).encode("utf-8", "surrogatepass")).to_bytes(8, "little") for p in parts]
-    sizes = np.cumsum([0, *map(len, parts)])
-    out = []
-    for i in range(len(parts)):
-        stop = max(i + sentences_at_least, int(np.searchsorted(sizes, sizes[i] + words_at_least)))
-        if stop > len(parts):
-            break
-        out.append((xxh64_intdigest(b"".join(digests[i:stop])), i, stop - i))
-    return out
+    ends = run_ends([len(p) for p in parts], how)
+    return [(xxh64_intdigest(b"".join(digests[i:stop])), i, stop - i) for i, stop in enumerate(ends)]
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
-    return F.xxhash64(docs[id_col], docs[text_col])
+    """32 bits of id and text: tells rows of one id apart."""
+    return F.xxhash64(docs[id_col], docs[text_col]).bitwiseAND(0xFFFFFFFF)
 
 
 def span_table(docs: DataFrame, id_col: str, text_col: str, how: tuple[int, int]) -> DataFrame:
-    """hash, id, doc (hash of id and text), first sentence, sentences, again (the run stands earlier in the document)."""
+    """span (hash), id and at: the row's key, the first sentence and whether the run stands earlier in the
+    document, in 32, 31 and 1 bits of one number, since this table is the largest that is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[int, int, int, bool]] = []
+            keys = batch.column(1).to_numpy(zero_copy_only=False)
+            hashes: list[int] = []
+            places: list[int] = []
             origin: list[int] = []
 
-            def put(batch=batch):
-                nonlocal rows, origin
-                at = pa.array(origin, pa.int64())
-                h, first, n, again = (list(c) for c in zip(*rows))
-                out = pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(h, np.uint64).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(again, pa.bool_())], ["span", "id", "doc", "first", "n", "again"])
-                rows, origin = [], []
-                return out
+            def put(batch=batch, keys=keys) -> pa.RecordBatch:
+                rows = np.array(origin, np.int64)
+                at = keys[rows] << 32 | np.array(places, np.int64)
+                return pa.RecordBatch.from_arrays([pa.array(np.array(hashes, np.uint64).view(np.int64)), batch.column(0).take(pa.array(rows)), pa.array(at)], ["span", "id", "at"])
 
             for i, text in enumerate(batch.column(2).to_pylist()):
                 seen: set[int] = set()
-                for h, first, n in spans(text or "", *how):
-                    rows.append((h, first, n, h in seen))
-                    seen.add(h)
+                for h, first, _ in spans(text or "", how):
+                    hashes.append(h)
+                    places.append(first << 1 | (h in seen))
                     origin.append(i)
-                    if len(rows) >= 50_000:
+                    seen.add(h)
+                    if len(hashes) >= 50_000:
                         yield put()
-            if rows:
+                        hashes, places, origin = [], [], []
+            if hashes:
                 yield put()
 
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(docs[id_col].alias("id"), _key(docs, id_col, text_col).alias("doc"), docs[text_col].alias("text"))
-    return given.mapInArrow(run, f"span long, id {kind}, doc long, first int, n int, again boolean")
+    return given.mapInArrow(run, f"span long, id {kind}, at long")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: tuple[int, int] = (SPAN_SENTENCES, SPAN_WORDS)) -> DataFrame:
-    """id, doc, runs: for each document the runs (first sentence, sentences) that stand earlier, in a
-    document of lesser id (null last) or before in the same one."""
+    """id, doc, runs: for each document the first sentences of the runs that stand earlier, in a document
+    of lesser id (null last) or before in the same one."""
     found = written(span_table(docs, id_col, text_col, how), "spans")
-    twice = found.groupBy("span").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("first_id")).where("times > 1").select(F.col("span").alias("s"), "first_id")
-    later = found.join(twice, F.col("span") == F.col("s")).where(F.col("again") | ~F.col("id").eqNullSafe(F.col("first_id")))
-    return later.groupBy("id", "doc").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+    # a table of its own, so that the join has shuffled both sides and can split a span that is everywhere
+    twice = written(found.groupBy("span").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("first_id")).where("times > 1").select(F.col("span").alias("s"), "first_id"), "spans-repeated")
+    again = F.col("at").bitwiseAND(1) == 1
+    later = found.join(twice, F.col("span") == F.col("s")).where(again | ~F.col("id").eqNullSafe(F.col("first_id")))
+    place = F.shiftright(F.col("at").bitwiseAND(0xFFFFFFFF), 1).cast("int")
+    return later.select("id", F.shiftrightunsigned("at", 32).alias("doc"), place.alias("first")).groupBy("id", "doc").agg(F.collect_list("first").alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: tuple[int, int] = (SPAN_SENTENCES, SPAN_WORDS)) -> DataFrame:
@@ -121,8 +126,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 parts = sentences(text or "")
                 gone = np.zeros(len(parts), bool)
-                for r in runs or ():
-                    gone[r["first"] : r["first"] + r["n"]] = True
+                ends = run_ends([len((text or "")[a:b].split()) for a, b in parts], how) if runs else []
+                for first in runs or ():
+                    gone[first : ends[first]] = True
                 cut: list[list[int]] = []
                 for k in np.flatnonzero(gone).tolist():
                     start, stop = parts[k]
