@@ -79,7 +79,7 @@ def newton_duals(rows: DataFrame, goal: dict[str, float], most: float = MAX_COPI
             .groupBy("source_key")
             .agg(
                 F.sum(F.col("size") * F.least(tilt, F.lit(float(most)))).alias("words"),
-                F.sum(F.when(tilt < most, F.col("size") * tilt).otherwise(0.0)).alias("curvature"),
+                F.sum(F.col("size") * tilt).alias("curvature"),
             )
             .collect()
         )
@@ -87,10 +87,9 @@ def newton_duals(rows: DataFrame, goal: dict[str, float], most: float = MAX_COPI
             k, miss = row.source_key, goal[row.source_key] - row.words
             if abs(miss) <= tolerance * goal[k]:
                 open_.discard(k)
-            elif row.curvature > 0:
-                duals[k] = min(duals[k] + max(-2.0, min(2.0, miss / row.curvature)), math.log(most))
             else:
-                duals[k] -= 0.5
+                # duals stay where rates are at most the greatest, so that the curvature there is the inner one
+                duals[k] = min(duals[k] + max(-2.0, min(2.0, miss / row.curvature)), math.log(most))
     return duals
 
 
