@@ -27,7 +27,7 @@ VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
 #: Words, and pre-tokens, whose ids a worker holds (twice as many just after a change of generation).
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 BIN = 8
 _BIG = 1 << 48
 #: Salts among which the pieces of a length are ranked; more where there are more than 20,000 pieces a salt.
