@@ -28,7 +28,9 @@ EM_ROUNDS = 3
 #: Added to each piece's expected count.
 FLOOR = 0.1
 #: The most frequent words whose counts every executor gets; all others are joined.
-HEAD_WORDS = 100_000
+HEAD_WORDS = 250_000
+#: Words whose scores a worker holds (twice as many just after a change of generation).
+CACHED_WORDS = 300_000
 #: Words counted in a task before they are passed on.
 HELD_WORDS = 400_000
 _LN10 = math.log(10)
@@ -98,8 +100,8 @@ def learn(counts: DataFrame, documents: int, path: str, rounds: int = EM_ROUNDS)
     return log_p
 
 
-def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[str, int]:
-    """All words that occur at least so often that there are no more than most of them."""
+def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[str, float]:
+    """log10 of one more than the count of all words that occur at least so often that there are no more than most of them."""
     step = F.floor(F.log2("n") * 16)
     sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).orderBy(F.desc("step")).collect()
     total, least = 0, None
@@ -108,12 +110,12 @@ def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[str, int]:
         if total > most:
             break
         least = row.least
-    return {} if least is None else {r.word: r.n for r in counts.where(F.col("n") >= least).select("word", "n").collect()}
+    return {} if least is None else {r.word: math.log10(r.n + 1) for r in counts.where(F.col("n") >= least).select("word", "n").collect()}
 
 
 @lru_cache(1)
 def _word_cache(path: str, key: bytes) -> WordCache:
-    return WordCache(Lattice(vocabulary(path), np.frombuffer(key)).word_scores)
+    return WordCache(Lattice(vocabulary(path), np.frombuffer(key)).word_scores, CACHED_WORDS)
 
 
 class Scorer:
@@ -143,38 +145,38 @@ class Scorer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cache, known = _word_cache(path, model.value), head.value
-            logs = {w: math.log10(n + 1) - unit for w, n in known.items()}
             end_score = float(np.frombuffer(model.value)[-1])
             for batch in batches:
                 uids, ids, folds, texts = (c for c in batch.columns)
-                uid = uids.to_pylist()
                 # n_tokens, n_known, base and score of each document
-                sums = [[1, int(documents > 0), math.log10(documents + 1) - unit, end_score] for _ in uid]
-                rows: list[tuple] = []
+                sums = [[1, int(documents > 0), math.log10(documents + 1), end_score] for _ in range(batch.num_rows)]
+                rest: list[str] = []
+                times_of: list[int] = []
                 origin: list[int] = []
                 for group in _groups(texts.to_pylist()):
                     cache.learn(set().union(*(own.keys() for _, own in group)))
                     for i, own in group:
-                        at = sums[i]
+                        n, n_known, base, score = sums[i]
                         for word, times in own.items():
-                            at[0] += times
-                            at[3] += times * cache[word]
-                            found = logs.get(word)
+                            n += times
+                            score += times * cache[word]
+                            found = known.get(word)
                             if found is not None:
-                                at[1] += times
-                                at[2] += times * found
+                                n_known += times
+                                base += times * found
                             else:
-                                rows.append((uid[i], word, times, 0, 0, 0.0, 0.0))
+                                rest.append(word)
+                                times_of.append(times)
                                 origin.append(i)
-                    if len(rows) > 50_000:
-                        yield _batch(rows, ids, folds, origin)
-                        rows, origin = [], []
-                for i, (n, known_here, base, score) in enumerate(sums):
-                    # a word holds no space, so this row meets no count
-                    rows.append((uid[i], f" {uid[i]}", 0, n, known_here, base, score / _LN10))
-                    origin.append(i)
-                if rows:
-                    yield _batch(rows, ids, folds, origin)
+                        sums[i] = [n, n_known, base, score]
+                    if len(rest) > 50_000:
+                        yield _batch(uids, ids, folds, origin, rest, times_of)
+                        rest, times_of, origin = [], [], []
+                if rest:
+                    yield _batch(uids, ids, folds, origin, rest, times_of)
+                # a word holds no space, so these rows meet no count
+                every = list(range(batch.num_rows))
+                yield _batch(uids, ids, folds, every, [f" {u}" for u in uids.to_pylist()], [0] * batch.num_rows, np.array(sums, np.float64).reshape(-1, 4))
 
         given = docs.select(F.monotonically_increasing_id().alias("uid"), docs[id_col].alias("id"),
                             (F.lit(False) if fold is None else fold).alias("held_out"), docs[text_col].alias("text"))
@@ -188,7 +190,8 @@ class Scorer:
             F.sum("n_tokens").alias("n_tokens"),
             F.sum(F.col("n_known") + known).alias("n_known"),
             F.lit(self.tokens).cast("long").alias("train_tokens"),
-            F.sum(F.col("base") + F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(unit))).alias("base_score"),
+            # every token's count is over the same total
+            (F.sum(F.col("base") + F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)) - F.sum("n_tokens") * F.lit(unit)).alias("base_score"),
             F.sum("score").alias("score"),
         ).drop("uid")
 
@@ -208,12 +211,12 @@ def _groups(texts: list[str | None]) -> Iterator[list[tuple[int, Counter[str]]]]
         yield group
 
 
-def _batch(rows: list[tuple], ids: pa.Array, folds: pa.Array, origin: list[int]) -> pa.RecordBatch:
-    uid, word, times, n, known, base, score = zip(*rows)
+def _batch(uids: pa.Array, ids: pa.Array, folds: pa.Array, origin: list[int], words: list[str], times: list[int], sums: np.ndarray | None = None) -> pa.RecordBatch:
     at = pa.array(origin, pa.int64())
+    sums = np.zeros((len(origin), 4)) if sums is None else sums
     return pa.RecordBatch.from_arrays(
-        [pa.array(uid, pa.int64()), ids.take(at), folds.take(at), pa.array(word, pa.string()), pa.array(times, pa.int64()), pa.array(n, pa.int64()),
-         pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
+        [uids.take(at), ids.take(at), folds.take(at), pa.array(words, pa.string()), pa.array(times, pa.int64()), pa.array(sums[:, 0].astype(np.int64)),
+         pa.array(sums[:, 1].astype(np.int64)), pa.array(sums[:, 2].copy()), pa.array(sums[:, 3] / _LN10)],
         ["uid", "id", "held_out", "word", "times", "n_tokens", "n_known", "base", "score"])
 
 
