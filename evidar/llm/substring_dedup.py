@@ -2,8 +2,9 @@
 
 From every sentence on, the run of the fewest sentences (SPAN_SENTENCES and SPAN_WORDS at least) is
 hashed, the hashes of all documents are joined, and the sentences that a non-first occurrence of a
-repeated run covers are removed. Sentences of many words are parted after words that their own
-hash picks, so that a passage is parted alike wherever it stands.
+repeated run covers are removed. Sentences are parted after words that their own hash picks, whatever
+stands around them, so that a passage is parted alike wherever it stands. In scripts that put no
+space between words each character counts as a word.
 """
 
 from __future__ import annotations
@@ -22,27 +23,27 @@ from evidar.llm.common import table, written
 
 SPAN_SENTENCES = 3
 SPAN_WORDS = 20
-LONG_SENTENCE = 16
-_BOUNDARY = re.compile(r"(?<=[.!?])[\"'»”)\]]*\s+|\n\s*")
-_WORD = re.compile(r"\S+\s*")
+_BOUNDARY = re.compile(r"(?<=[.!?])[\"'»”)\]]*\s+|(?<=[\u3002\uff01\uff1f])[\"'»”)\]\u300d\u300f\uff09]*\s*|\n\s*")
+#: Thai to Tibetan, Myanmar, Khmer, kana and Han with their punctuation.
+_UNSPACED_CLASS = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_UNSPACED_CLASS}]")
+_WORD = re.compile(rf"[{_UNSPACED_CLASS}]\s*|[^\s{_UNSPACED_CLASS}]+\s*")
+_SPACED_WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Ranges of the sentences (and parts of long ones); together they are the whole text."""
-    cuts = [m.end() for m in _BOUNDARY.finditer(text)]
-    out, at = [], 0
-    for stop in [*cuts, len(text)]:
-        if stop <= at:
-            continue
-        words = list(_WORD.finditer(text, at, stop))
-        if len(words) > LONG_SENTENCE:
-            for m in words[:-1]:
-                if zlib.crc32(m[0].rstrip().encode("utf-8", "surrogatepass")) % 4 == 0:
-                    out.append((at, m.end()))
-                    at = m.end()
-        out.append((at, stop))
-        at = stop
-    return out
+    """Ranges of the sentences and their parts; together they are the whole text."""
+    word = _WORD if _UNSPACED.search(text) else _SPACED_WORD
+    cuts = {m.end() for m in _BOUNDARY.finditer(text)}
+    cuts.update(m.end() for m in word.finditer(text) if zlib.crc32(m[0].rstrip().encode("utf-8", "surrogatepass")) % 4 == 0)
+    stops = sorted(cuts | {len(text)})
+    return [(at, stop) for at, stop in zip([0, *stops], stops) if at < stop]
+
+
+def word_counts(text: str, parts: list[tuple[int, int]]) -> list[int]:
+    if _UNSPACED.search(text):
+        return [len(_WORD.findall(text, a, b)) for a, b in parts]
+    return [len(text[a:b].split()) for a, b in parts]
 
 
 def run_ends(sizes: list[int], how: tuple[int, int]) -> list[int]:
@@ -54,9 +55,9 @@ def run_ends(sizes: list[int], how: tuple[int, int]) -> list[int]:
 
 def spans(text: str, how: tuple[int, int] = (SPAN_SENTENCES, SPAN_WORDS)) -> list[tuple[int, int, int]]:
     """(hash, first sentence, sentences) of the run that begins with each sentence; none where the text ends before."""
-    parts = [text[a:b].split() for a, b in sentences(text)]
-    digests = [xxh64_intdigest(" ".join(p).encode("utf-8", "surrogatepass")).to_bytes(8, "little") for p in parts]
-    ends = run_ends([len(p) for p in parts], how)
+    parts = sentences(text)
+    digests = [xxh64_intdigest(" ".join(text[a:b].split()).encode("utf-8", "surrogatepass")).to_bytes(8, "little") for a, b in parts]
+    ends = run_ends(word_counts(text, parts), how)
     return [(xxh64_intdigest(b"".join(digests[i:stop])), i, stop - i) for i, stop in enumerate(ends)]
 
 
@@ -126,7 +127,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 parts = sentences(text or "")
                 gone = np.zeros(len(parts), bool)
-                ends = run_ends([len((text or "")[a:b].split()) for a, b in parts], how) if runs else []
+                ends = run_ends(word_counts(text or "", parts), how) if runs else []
                 for first in runs or ():
                     gone[first : ends[first]] = True
                 cut: list[list[int]] = []

@@ -95,6 +95,42 @@ def test_passage_is_removed_where_it_comes_again(spark):
     assert sum(r.stop - r.start for r in out[3].removed) > 0.5 * len(long)
 
 
+@pytest.mark.parametrize("shortest, longest", [(12, 16), (10, 16), (10, 25)])
+def test_passage_of_51_words_at_any_boundary(shortest, longest):
+    rng = np.random.default_rng(longest + shortest)
+
+    def prose(n):
+        out = []
+        while len(out) < n:
+            words = ["".join(w) for w in rng.choice(list("abcdefghij"), (int(rng.integers(shortest, longest + 1)), 6))]
+            out += [*words[:-1], words[-1] + "."]
+        return out[:n]
+
+    covered = []
+    for _ in range(200):
+        at = int(rng.integers(0, longest))
+        passage, texts = prose(51 + longest)[at : at + 51], []
+        for _ in range(2):
+            around, k = prose(100), int(rng.integers(0, 100))
+            texts.append(" ".join(around[:k] + passage + around[k:]))
+        first = {h for h, _, _ in substring_dedup.spans(texts[0])}
+        parts = [texts[1][a:b] for a, b in substring_dedup.sentences(texts[1])]
+        gone = {k for h, at, n in substring_dedup.spans(texts[1]) if h in first for k in range(at, at + n)}
+        covered.append(sum(len(parts[k].split()) for k in gone))
+    assert min(covered) >= substring_dedup.SPAN_WORDS and np.mean(covered) > 0.82 * 51
+
+
+def test_unspaced_text_is_parted():
+    rng = np.random.default_rng(3)
+    han = lambda n: "".join(chr(c) for c in rng.integers(0x4E00, 0x9F00, n))
+    passage = han(30) + "。" + han(30) + "！" + han(30)
+    a, b = (substring_dedup.spans(han(n) + passage + han(n)) for n in (17, 41))
+    assert {h for h, _, _ in a} & {h for h, _, _ in b}
+    text = "一二。三四？ five six. " + han(200)
+    parts = [text[i:j] for i, j in substring_dedup.sentences(text)]
+    assert "".join(parts) == text and any(p.endswith("。") for p in parts) and any(p.endswith("？ ") for p in parts)
+
+
 # 3 WARC
 
 
