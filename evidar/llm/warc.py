@@ -3,7 +3,8 @@
 The writer makes one gzip member of each record and lets Spark's own file sink write them, so that
 archives land whole in any store that Spark reaches. The reader takes archives of gzip members or
 of plain records. Where a check fails it searches for the next member or version line that holds a
-valid record, goes on from there and logs the bytes between as quarantined.
+valid record, goes on from there and logs the bytes between as quarantined. It does so within a
+member too, and within what inflates of a broken one.
 """
 
 from __future__ import annotations
@@ -132,61 +133,103 @@ def payload_of(block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2]
 
 
-def _inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member that begins at a place in data; its checksum is checked."""
-    press, out, fed = zlib.decompressobj(31), [], at
-    try:
-        while not press.eof:
-            if fed >= len(data):
-                raise Broken("member is cut off")
-            out.append(press.decompress(data[fed : fed + 65536]))
-            fed = min(fed + 65536, len(data))
-    except zlib.error as e:
-        raise Broken(f"member does not inflate: {str(e)[:60]}") from None
-    return b"".join(out), fed - len(press.unused_data)
-
-
-def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """Records of the member, or the plain record, that begins at a place; and its end."""
+CUT_OFF = "member is cut off"
+_PADDING = re.compile(rb"[\0\r\n]*")
+_START = re.compile(re.escape(_MAGIC) + rb"|WARC/1\.[01]\r?\n")
+
+
+def _inflate(data: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """Content of the gzip member that begins at a place in data, its end and, if it is broken, why;
+    the content is then what inflates, the end where that stops. Its checksum is checked."""
+    press, out, fed, step = zlib.decompressobj(31), [], at, 65536
+    while not press.eof:
+        if fed >= len(data):
+            return b"".join(out), fed, CUT_OFF
+        before = press.copy() if step > 1 else None
+        try:
+            out.append(press.decompress(data[fed : fed + step]))
+        except zlib.error as e:
+            if before is None:
+                return b"".join(out), fed, f"member does not inflate: {str(e)[:60]}"
+            press, step = before, max(step // 16, 1)  # again in smaller steps, up to the byte that fails
+            continue
+        fed = min(fed + step, len(data))
+    return b"".join(out), fed - len(press.unused_data), None
+
+
+def _has_digest(fields: dict[str, str]) -> bool:
+    """Whether parse_record has checked a digest of the record."""
+    return fields.get("warc-block-digest", "").startswith("sha1:") or (fields["warc-type"] == "response" and fields.get("warc-payload-digest", "").startswith("sha1:"))
+
+
+def _records(content: bytes, sound: bool) -> Iterator[tuple[dict[str, str] | None, bytes, str | None]]:
+    """(fields, block, None) of each record of a member's content and (None, b"", reason) for each gap.
+    Where the content is not sound, a record without a digest cannot be told from a damaged one."""
+    at, reason = 0, None
+    while (at := _PADDING.match(content, at).end()) < len(content):
+        try:
+            fields, block, end = parse_record(content, at)
+            if not sound and not _has_digest(fields):
+                raise Broken("record without digest in a broken member")
+        except Broken as e:
+            reason = reason or f"{e}, at {at} of the member's content"
+            following = _VERSION.search(content, at + 1)
+            at = following.start() if following else len(content)
+            continue
+        if reason:
+            yield None, b"", reason
+            reason = None
+        yield fields, block, None
+        at = end
+    if reason:
+        yield None, b"", reason
+
+
+def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[tuple[dict[str, str] | None, bytes, str | None]], int, str | None]:
+    """Records and gaps of the member, or the plain record, that begins at a place; its end; and, if it
+    is broken as a whole, why: then there are only the records that are left of it."""
     if data.startswith(_MAGIC, at):
-        content, end = _inflate(view, at)
-        records, inner = [], 0
-        while inner < len(content):
-            fields, block, inner = parse_record(content, inner)
-            records.append((fields, block))
-        if not records:
-            raise Broken("member is empty")
-        return records, end
-    fields, block, end = parse_record(data, at)
-    return [(fields, block)], end
+        content, end, why = _inflate(view, at)
+        found = list(_records(content, why in (None, CUT_OFF)))
+        if why:
+            return [u for u in found if u[2] is None], end, why
+        return found or [(None, b"", "member is empty")], end, None
+    try:
+        fields, block, end = parse_record(data, at)
+    except Broken as e:
+        return [], at, str(e)
+    return [(fields, block, None)], end, None
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str] | None, bytes, str | None]]:
     """(kind, start, end, fields, block, reason) of each record and, of kind gap, of each quarantined
-    range of bytes. NUL bytes and line ends between records are padding."""
+    range of bytes. NUL bytes and line ends between records are padding. What is in a member has the
+    member's start and end; records left of a broken member come before the gap that begins with it."""
     view, at = memoryview(data), 0
-    start_of = re.compile(re.escape(_MAGIC) + rb"|WARC/1\.[01]\r?\n")
-    padding = re.compile(rb"[\0\r\n]*")
-    while (at := padding.match(data, at).end()) < len(data):
-        try:
-            records, end = _unit(data, view, at)
-        except Broken as e:
-            gap, reason, found = at, str(e), None
-            for candidate in start_of.finditer(data, at + 1):
-                try:
-                    found = _unit(data, view, candidate.start())
-                except Broken:
-                    continue
-                at = candidate.start()
-                break
-            if found is None:
-                yield "gap", gap, len(data), None, b"", reason
-                return
+    gap, reason = None, None
+    #: Where the last broken member stopped to inflate and what it gave: stored blocks show it again.
+    stopped, given = 0, set()
+    while (at := at if gap is not None else _PADDING.match(data, at).end()) < len(data):
+        units, end, why = _unit(data, view, at)
+        again = at < stopped and not data.startswith(_MAGIC, at) and why is None and (units[0][0]["warc-record-id"], units[0][1]) in given
+        if again:
+            why, units = reason, []
+        if (units or why is None) and gap is not None:
             yield "gap", gap, at, None, b"", reason
-            records, end = found
-        for fields, block in records:
-            yield "record", at, end, fields, block, None
-        at = end
+            gap = None
+        for fields, block, inner in units:
+            yield "record" if inner is None else "gap", at, end, fields, block, inner
+        if why is None:
+            at = end
+            continue
+        if gap is None:
+            gap, reason = at, why
+        if units:
+            stopped, given = end, {(fields["warc-record-id"], block) for fields, block, _ in units}
+        following = _START.search(data, end if again else at + 1)
+        at = following.start() if following else len(data)
+    if gap is not None:
+        yield "gap", gap, len(data), None, b"", reason
 
 
 ROW = ("archive string, kind string, start long, stop long, reason string, warc_type string, record_id string, target_uri string, "

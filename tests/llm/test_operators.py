@@ -158,6 +158,35 @@ def test_salvage_goes_on_after_damage():
     assert list(warc.salvage(b"")) == []
 
 
+def test_salvage_searches_inside_members():
+    records = [warc.page_record(i, f"http://a/{i}", "y" * i + "<p>" + str(np.random.default_rng(i).random(60).tolist()), None) for i in range(9)]
+    ids = lambda units: [int(u[3]["warc-record-id"][:-1].rpartition(":")[2]) for u in units if u[0] == "record"]
+    gaps = lambda units: [(u[1], u[2]) for u in units if u[0] == "gap"]
+    press = lambda *r: warc.member(b"".join(r))
+    # one bad record, one cut record in a sound member
+    one, last = press(records[0], records[1].replace(b"<p>", b"<q>"), records[2], records[3][:-40], records[4]), press(records[5])
+    units = list(warc.salvage(one + last))
+    assert ids(units) == [0, 2, 4, 5] and gaps(units) == [(0, len(one))] * 2 and all(u[5] for u in units if u[0] == "gap")
+    # a member cut off, and one with a bad byte
+    whole = press(*records[:8])
+    cut = whole[: len(whole) * 3 // 4]
+    units = list(warc.salvage(cut))
+    assert ids(units) == list(range(len(ids(units)))) and len(ids(units)) >= 4 and gaps(units) == [(0, len(cut))]
+    bad = whole[:-8] + b"\0\0\0\0" + whole[-4:]
+    units = list(warc.salvage(bad + last + cut + last))
+    assert ids(units)[:9] == [*range(8), 5] and ids(units)[-1] == 5 and len(ids(units)) >= 14
+    assert gaps(units) == [(0, len(bad)), (len(bad) + len(last), len(bad) + len(last) + len(cut))]
+    # stored blocks show their records twice
+    store = zlib.compressobj(0, zlib.DEFLATED, 31)
+    stored = store.compress(b"".join(records[:6])) + store.flush()
+    units = list(warc.salvage(stored[:-8] + b"\0\0\0\0" + stored[-4:] + last))
+    assert ids(units) == [0, 1, 2, 3, 4, 5, 5] and gaps(units) == [(0, len(stored))]
+    # without a digest nothing in a damaged member can be told to be whole
+    bare = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:evidar:page:7>\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    assert ids(warc.salvage(press(bare, bare))) == [7, 7]
+    assert ids(warc.salvage(press(bare, records[1])[:-8] + b"\0" * 8)) == [1]
+
+
 # 4 packing
 
 
