@@ -3,7 +3,7 @@
 A recording becomes frames of twelve pitch classes. Filters, each the difference of two groups of
 rectangles of that image, are read off its integral image at every frame and quantised to two bits;
 sixteen make a packed integer. Recordings that share integers are aligned by a histogram of the
-offsets between them, and the share of bits that differ at the best offset says whether they match.
+offsets between them, and the share of bits that differ at an offset says whether they match there.
 """
 
 from __future__ import annotations
@@ -189,7 +189,8 @@ def align(prints: DataFrame, is_query: str = "id % 50 = 0") -> DataFrame:
     Recordings of equal print are one class, named by its least id (null if none has one). A class
     with a row for which is_query holds is searched for among all classes: links has every other
     class that shares MIN_EQUAL integers at one offset and there, over MIN_OVERLAP frames, differs in
-    MAX_ERROR of the bits at most, with offset and bit_error. Classes of no query have null links.
+    MAX_ERROR of the bits at most, with offset and bit_error. Of several such offsets it is that of most
+    equal integers, then the least. Classes of no query have null links.
     A null or empty print belongs to no class. Repeated rows repeat.
     """
     rows = prints.withColumn("class", F.when(F.size("print") > 0, F.sha2(F.concat_ws(",", F.col("print").cast("array<string>")), 256)))
@@ -201,23 +202,30 @@ def align(prints: DataFrame, is_query: str = "id % 50 = 0") -> DataFrame:
     # each class counts a value once for each frame; offsets are counted before anything is gathered
     votes = asked.join(frames.select("class", "at", "value"), "value").where("query <> class").groupBy(
         "query", "class", (F.col("at") - F.col("query_at")).alias("offset")).agg(F.count(F.lit(1)).alias("equal"))
-    best = votes.where(F.col("equal") >= MIN_EQUAL).groupBy("query", "class").agg(F.max_by(F.col("offset"), F.struct("equal", -F.col("offset"))).alias("offset"))
-    pairs = best.join(classes.select("class", F.col("class_id").alias("found_id"), F.col("print").alias("found_print")), "class")
+    # a row a pair with all its offsets, at most as many as both have frames; the best come first
+    offsets = votes.where(F.col("equal") >= MIN_EQUAL).groupBy("query", "class").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("equal")).alias("n"), "offset")))["offset"].alias("offsets"))
+    pairs = offsets.join(classes.select("class", F.col("class_id").alias("found_id"), F.col("print").alias("found_print")), "class")
     pairs = pairs.join(classes.select(F.col("class").alias("query"), F.col("print").alias("query_print")), "query")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, errors = [], []
-            for k, (a, b, offset) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
-                n, error = bit_error(np.array(a, np.int32), np.array(b, np.int32), offset)
-                if n >= MIN_OVERLAP and error <= MAX_ERROR:
-                    keep.append(k)
-                    errors.append(error)
+            keep, best, errors = [], [], []
+            for k, (a, b, offsets) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
+                a, b = np.array(a, np.int32), np.array(b, np.int32)
+                for offset in offsets:
+                    n, error = bit_error(a, b, offset)
+                    if n >= MIN_OVERLAP and error <= MAX_ERROR:
+                        keep.append(k)
+                        best.append(offset)
+                        errors.append(error)
+                        break
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in (0, 1, 4)), pa.array(errors, pa.float64())], ["query", "class_id", "offset", "bit_error"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(at) for c in (0, 1)), pa.array(best, pa.int32()), pa.array(errors, pa.float64())], ["query", "class_id", "offset", "bit_error"])
 
     kind = prints.schema["id"].dataType.simpleString()
-    found = pairs.select("query", "found_id", "query_print", "found_print", "offset").mapInArrow(verify, f"query string, class_id {kind}, offset int, bit_error double")
+    found = pairs.select("query", "found_id", "query_print", "found_print", "offsets").mapInArrow(verify, f"query string, class_id {kind}, offset int, bit_error double")
     links = found.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("class_id", "offset", "bit_error"))).alias("links"))
     named = classes.select("class", "class_id", "asks").join(links, F.col("class") == F.col("query"), "left").select(
         "class", "class_id", F.when(F.col("asks"), F.coalesce("links", F.array().cast(links.schema["links"].dataType))).alias("links"))

@@ -382,6 +382,21 @@ def test_wav_forms():
     assert len(audio.decode_wav(audio.encode_wav(x, 2 * audio.RATE))) == 4000 and audio.decode_wav(b"RIFF") is None
 
 
+def test_every_offset_with_votes_is_verified(spark):
+    rng = np.random.default_rng(8)
+    new = lambda n: rng.integers(-(1 << 31), 1 << 31, n)
+    music, silence = new(60), lambda n: np.full(n, 77)
+    noisy = music.copy()
+    noisy[np.arange(60) % 10 != 0] ^= 0x00010001  # six integers stay equal, the others lose 2 of 32 bits
+    # silence aligns at offsets 10 to 40 with 50 equal integers, the music at 70 with 26
+    a = np.concatenate([new(20), silence(50), music, new(20)])
+    b = np.concatenate([new(30), silence(80), new(30), noisy])
+    prints = spark.createDataFrame([(0, a.tolist()), (1, b.tolist()), (2, new(90).tolist())], "id long, print array<int>")
+    got = {r.id: r for r in audio.align(prints).collect()}
+    (link,) = got[0].links
+    assert (link.class_id, link.offset) == (1, 70) and link.bit_error < 0.25
+
+
 # 9 exact dedup
 
 
