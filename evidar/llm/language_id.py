@@ -66,6 +66,10 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_counts=True)
 
 
+def has_letters(text: str | None) -> bool:
+    return len(grams(text or "")[0]) > 0
+
+
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams by language, summed over the task."""
     total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -130,7 +134,8 @@ class Classifier:
 
 def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, lang_pred, score for each row, from the whole text alone. A null text or one
-    without letters is `und` with score 0; ties go to the language first by code point."""
+    without letters is `und` with score 0, as is every text where profiles is empty; ties go to the
+    language first by code point."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(profiles)
@@ -155,14 +160,16 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose language can be told; those that are `und` go."""
+    """The rows of docs whose language can be told; null texts and those without a letter go. Where no
+    training row has a language and a letter, no language can be told and only these go."""
     classifier_input = learn_profiles(training_rows(docs))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(classifier_input)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([classifier.predict(t)[0] != UNDETERMINED for t in texts], pa.bool_()))
+            told = (lambda t: classifier.predict(t)[0] != UNDETERMINED) if classifier.langs else has_letters
+            yield batch.filter(pa.array([told(t) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

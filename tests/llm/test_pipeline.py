@@ -1,5 +1,7 @@
 """The pipeline stage by stage, each held against what its operator says of its input."""
 
+import zlib
+
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -43,6 +45,15 @@ def test_stages(stages):
     assert all(sum(v) == totals[i] * copies[i] for i, v in pieces.items())
 
 
+def test_language_stage_without_labels(spark):
+    rows = [(1, "some clean text", None, "s", 1), (2, "123 456", None, "s", 1), (3, None, None, "s", 1), (None, "noch ein Text", None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in language_id.language_stage(docs).collect()} == {1, None}
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    docs = spark.createDataFrame([(held, "labelled but held out", "en", "s", 1), *rows[1:]], docs.schema)
+    assert {r.doc_id for r in language_id.language_stage(docs).collect()} == {held, None}
+
+
 def test_run(spark):
     from pyspark.sql import functions as F
 
