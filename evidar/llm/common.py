@@ -12,8 +12,34 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of the batches that go to Python workers, whatever the number of their rows.
+ARROW_BYTES = 4 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """spark, with the batches that go to its Python workers bounded in bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_CACHES: dict[str, object] = {}
+
+
+def worker_cache(name: str, make):
+    """A Python worker's cache of this name. A worker serves one operator after another; it holds one cache at a time."""
+    if name not in _CACHES:
+        _CACHES.clear()
+        _CACHES[name] = make()
+    return _CACHES[name]
+
+
+def release_caches() -> None:
+    """For operators that hold none."""
+    _CACHES.clear()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -48,3 +74,11 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 def as_rows(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns: extra columns, whatever their names, play no part."""
     return df.select(*[df[c] for c in columns])
+
+
+def free_names(docs: DataFrame, *names: str) -> dict[str, str]:
+    """For each name one that no column of docs has, whatever its case."""
+    prefix = "evidar_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return {n: prefix + n for n in names}

@@ -11,10 +11,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidar.llm.common import held_out, table
+from evidar.llm.common import held_out, release_caches, table
 
 PROFILE_SIZE = 400
 DOCUMENT_SIZE = 300
@@ -72,6 +73,7 @@ def has_letters(text: str | None) -> bool:
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams by language, summed over the task."""
+    release_caches()
     total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     pending: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
@@ -160,16 +162,23 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose language can be told; null texts and those without a letter go. Where no
-    training row has a language and a letter, no language can be told and only these go."""
-    classifier_input = learn_profiles(training_rows(docs))
+    """The rows of docs whose language can be told, a null lang filled with the language told; null texts and
+    those without a letter go. Where no training row has a language and a letter, no language can be told:
+    only these go, and lang stays null. Repeated rows repeat, an empty table gives no rows, long texts are
+    taken whole, other columns pass as they are."""
+    profiles = learn_profiles(training_rows(docs))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier = Classifier(classifier_input)
+        release_caches()
+        classifier = Classifier(profiles)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            told = (lambda t: classifier.predict(t)[0] != UNDETERMINED) if classifier.langs else has_letters
-            yield batch.filter(pa.array([told(t) for t in texts], pa.bool_()))
+            at = batch.schema.get_field_index("lang")
+            texts = [t.as_py() for t in batch.column(batch.schema.get_field_index("text"))]
+            told = [classifier.predict(t)[0] for t in texts]
+            stays = [lang != UNDETERMINED or (not classifier.langs and has_letters(t)) for lang, t in zip(told, texts)]
+            found = pa.array([None if lang == UNDETERMINED else lang for lang in told], pa.string())
+            lang = pc.coalesce(batch.column(at), found.cast(batch.schema.field(at).type))
+            yield batch.set_column(at, batch.schema.field(at).name, lang).filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

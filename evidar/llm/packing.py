@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from struct import pack as pack_ids
 
 import numpy as np
@@ -19,15 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidar.llm.common import table, written
+from evidar.llm.common import table, worker_cache, written
 from evidar.llm.token_counts import byte_letters, merge_table
 from evidar.llm.words import WordCache, grouped
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
-#: Words, and pre-tokens, whose ids a worker holds (twice as many just after a change of generation).
-CACHED_WORDS = 150_000
+#: Bytes of words, and of pre-tokens, whose ids a worker holds.
+CACHED_BYTES = 24 << 20
 BIN = 8
 _BIG = 1 << 48
 #: Salts among which the pieces of a length are ranked; more where there are more than 20,000 pieces a salt.
@@ -42,7 +41,7 @@ class Encoder:
 
         self.library, self.table = Tokenizer.from_file(path), merge_table(path)
         self.letters = dict(enumerate(byte_letters()))
-        self.known = WordCache(self._pre_tokens, CACHED_WORDS)
+        self.known = WordCache(self._pre_tokens, CACHED_BYTES)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -62,14 +61,9 @@ class Encoder:
         return [self._ids(w) if p is None else get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for w, p in zip(words, parts)]
 
 
-@lru_cache(2)
-def _cache(path: str) -> WordCache:
-    return WordCache(Encoder(path).words, CACHED_WORDS)
-
-
 def cut(texts: list[str | None], path: str, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
     """(index of text, start, length, crc32 of the ids, tokens of the document) of each piece."""
-    cache, size = _cache(path), 4 * window
+    cache, size = worker_cache(f"ids {path}", lambda: WordCache(Encoder(path).words, CACHED_BYTES)), 4 * window
     done: list[tuple[int, int]] = []
     rest = b""
 

@@ -7,6 +7,7 @@ and all sequences at once; sequences without a mergeable pair drop out. What sur
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -19,11 +20,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidar.llm.common import table
+from evidar.llm.common import table, worker_cache
 from evidar.llm.words import WordCache, grouped
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+#: Bytes above which a sequence is merged by itself, with the same result: rounds over a batch would last as long as its longest.
+LONG = 512
 _NO_RANK = np.iinfo(np.int32).max
 
 
@@ -70,6 +73,14 @@ class MergeTable:
 
     def merge(self, sequences: list[bytes]) -> np.ndarray:
         """Symbols that survive of each sequence (none is empty)."""
+        long = [i for i, s in enumerate(sequences) if len(s) > LONG]
+        if long:
+            out = np.zeros(len(sequences), np.int64)
+            out[long] = [self.merge_long(sequences[i]) for i in long]
+            short = np.array([i for i, s in enumerate(sequences) if len(s) <= LONG], np.int64)
+            if len(short):
+                out[short] = self.merge([sequences[i] for i in short])
+            return out
         lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
         result = lengths.copy()
         flat = np.frombuffer(b"".join(sequences), np.uint8)
@@ -95,6 +106,57 @@ class MergeTable:
             symbols, ids = symbols[keep], ids[keep]
         return result
 
+    def merge_long(self, sequence: bytes) -> int:
+        """As merge, of one sequence. Places wait under the rank of their pair; a round takes the places of the lowest
+        rank and looks up anew only the pairs beside what it merged, so that settled stretches cost nothing more."""
+        flat = np.frombuffer(sequence, np.uint8)
+        n = len(flat)
+        symbols = np.append(self.first[flat], -1)
+        symbols[n - 1] = self.last[flat[-1]]
+        following, before = np.arange(1, n + 2), np.arange(-1, n)
+        rank, made = np.full(n + 1, _NO_RANK, np.int32), np.zeros(n + 1, np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def look_up(at: np.ndarray) -> None:
+            found, row = self.rank(symbols[at], symbols[following[at]])
+            rank[at], made[at] = found, self.made[row]
+            order = np.argsort(found, kind="stable")
+            found, at = found[order], at[order]
+            stop = int(np.searchsorted(found, _NO_RANK))
+            for part in np.split(np.arange(stop), np.flatnonzero(np.diff(found[:stop])) + 1) if stop else ():
+                key = int(found[part[0]])
+                if key not in waiting:
+                    waiting[key] = []
+                    heapq.heappush(queue, key)
+                waiting[key].append(at[part])
+
+        left = n
+        look_up(np.arange(n - 1))
+        while queue:
+            lowest = heapq.heappop(queue)
+            at = np.unique(np.concatenate(waiting.pop(lowest)))
+            at = at[rank[at] == lowest]  # the others have gone or changed
+            if len(at) > 1:
+                # of pairs that overlap (the pair of a symbol with itself) every second one, from the left
+                run = np.r_[True, following[at[:-1]] != at[1:]]
+                start = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
+                at = at[(np.arange(len(at)) - start) % 2 == 0]
+            if not len(at):
+                continue
+            gone = following[at]
+            symbols[at] = made[at]
+            rank[gone] = _NO_RANK
+            following[at] = following[gone]
+            before[following[at]] = at
+            left -= len(at)
+            beside = np.unique(np.concatenate((at, before[at])))
+            beside = beside[beside >= 0]
+            last = following[beside] >= n
+            rank[beside[last]] = _NO_RANK
+            look_up(beside[~last])
+        return left
+
     def counts(self, words: list[str]) -> list[int]:
         """Tokens of each white-space word, special strings being one token each."""
         place: dict[bytes, int] = {}
@@ -139,13 +201,8 @@ def merge_table(path: str) -> MergeTable:
     return MergeTable(path)
 
 
-@lru_cache(2)
-def _cache(path: str) -> WordCache:
-    return WordCache(merge_table(path).counts)
-
-
 def count_texts(texts: list[str | None], path: str) -> np.ndarray:
-    cache = _cache(path)
+    cache = worker_cache(f"counts {path}", lambda: WordCache(merge_table(path).counts))
     out = np.zeros(len(texts), np.int64)
     for group, words in grouped(texts):
         cache.learn(words)
@@ -157,8 +214,9 @@ def count_texts(texts: list[str | None], path: str) -> np.ndarray:
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = TOKEN_LIMIT) -> DataFrame:
     """id, n_bytes, n_tokens, over_limit for each row of docs, in one pass without a shuffle.
 
-    Null text counts as empty (0 bytes, 0 tokens), a null id stays null, repeated rows repeat.
-    Texts are taken whole; path names the vocabulary file, which every executor must have.
+    Null text counts as empty (0 bytes, 0 tokens), a null id stays null, repeated rows repeat, an empty
+    table gives no rows; other columns play no part. Texts are taken whole, however long they or their
+    words are; path names the vocabulary file, which every executor must have.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

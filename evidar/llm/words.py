@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 #: Characters that str.split() takes for white space and Unicode's White_Space does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def slices(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
@@ -35,27 +36,25 @@ def split_words(text: str) -> list[str]:
 
 
 class WordCache(dict):
-    """Values by word; resolve() finds those of new words all at once. When it is full it begins anew,
-    and words in use are taken over from what it held before."""
+    """Values by word; resolve() finds those of new words all at once. When words and values take more than
+    limit bytes it begins anew."""
 
-    def __init__(self, resolve: Callable[[list[str]], list], limit: int = 100_000):
+    def __init__(self, resolve: Callable[[list[str]], list], limit: int = 16 << 20):
         super().__init__()
-        self.resolve, self.limit = resolve, limit
-        self.before: dict = {}
+        self.resolve, self.limit, self.held = resolve, limit, 0
 
     def learn(self, words: set[str]) -> None:
         """After this the cache has all of words (of words learned before perhaps not)."""
         new = [w for w in words if w not in self]
         if not new:
             return
-        if len(self) + len(new) > self.limit:
-            self.before = dict(self)
+        if self.held > self.limit:
             self.clear()
-            new = list(words)
-        if self.before:
-            self.update((w, self.before[w]) for w in new if w in self.before)
-            new = [w for w in new if w not in self]
-        self.update(zip(new, self.resolve(new)))
+            self.held, new = 0, list(words)
+        values = self.resolve(new)
+        self.update(zip(new, values))
+        # an entry of the table, and the objects of word and value
+        self.held += 60 * len(new) + sum(map(getsizeof, new)) + sum(map(getsizeof, values))
 
 
 def grouped(texts: list[str | None], size: int = CHUNK_CHARS) -> Iterator[tuple[list[tuple[int, list[str]]], set[str]]]:
