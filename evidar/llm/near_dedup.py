@@ -263,20 +263,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return prints.join(link(prints, tau), "fp").select("id", "fp", "component_id")
 
 
-def near_dedup_stage(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay: of each component the document of least id. Rows without an id
-    stay; of rows that repeat an id, one."""
-    found = written(near_dedup(docs), "simhash-found")
-    stays = written(found.where("id is null or id = component_id").groupBy("id").count(), "simhash-stays")
-    rows = docs.join(stays.select(F.col("id").alias("__id")), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    repeated = stays.where("count > 1 and id is not null")
-    if repeated.isEmpty():
-        return rows
-    again = repeated.select(F.col("id").alias("__id"))
-    same = rows["doc_id"] == F.col("__id")
-    return rows.join(again, same, "left_anti").unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
-
-
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -16,23 +16,31 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """64 bits: each is 1 if set in more than half of the XXH64 (seed 42) of all shingles of width
-    words (A-Z lowered, repeats included); fewer words are one shingle, no words give 0."""
+def shingle_hashes(text: str | None, width: int = 3) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of all shingles of width words, A-Z lowered, repeats included, CHUNK at a time;
+    fewer words are one shingle, no words give none."""
     data = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
     words = data.split()  # at U+0020 and U+0009 to U+000D only
     if not words:
-        return 0
-    if len(words) <= width:
-        return xxh64_intdigest(b" ".join(words), SEED)
+        return
     body = b" ".join(words)
+    if len(words) <= width:
+        yield np.array([xxh64_intdigest(body, SEED)], np.uint64)
+        return
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - width + 1].tolist()
-    stops = ends[width - 1 :].tolist()
-    ones, total = np.zeros(64, np.int64), len(starts)
-    for at in range(0, total, CHUNK):
-        hashes = np.fromiter((xxh64_intdigest(body[a:b], SEED) for a, b in zip(starts[at : at + CHUNK], stops[at : at + CHUNK])), np.uint64)
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - width + 1]
+    stops = ends[width - 1 :]
+    for at in range(0, len(starts), CHUNK):
+        spans = zip(starts[at : at + CHUNK].tolist(), stops[at : at + CHUNK].tolist())
+        yield np.fromiter((xxh64_intdigest(body[a:b], SEED) for a, b in spans), np.uint64)
+
+
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """64 bits: each is 1 if set in more than half of the hashes of all shingles; no words give 0."""
+    ones, total = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, width):
         ones += bit_counts(hashes)
+        total += len(hashes)
     return int(((ones * 2 > total) * (np.uint64(1) << np.arange(64, dtype=np.uint64))).sum(dtype=np.uint64))
 
 
