@@ -13,13 +13,16 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidar.llm.common import SPACE_CLASS, fresh_path, shared_root, table, written
+from evidar.llm.common import SPACE_CLASS, free_names, fresh_path, table, written
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+    "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "8",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
@@ -52,9 +55,16 @@ def _conf(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 def keyed_state(stream: DataFrame) -> DataFrame:
     """The stateful operator: for each digest its first holder (least id, null last; then least uid)
-    and the count of its rows. Works on any stream of digest_log rows; its state never expires."""
+    and the count of its rows. Works on any stream of digest_log rows, also one without rows, where ids and
+    digests are null or repeat; its state never expires."""
     return stream.groupBy("digest").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "uid", "locator")).alias("first"),
         F.count(F.lit(1)).alias("hits"),
@@ -71,23 +81,26 @@ def run_stream(spark: SparkSession, log_path: str, schema, checkpoint: str, max_
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
         query.awaitTermination()
-    return spark.read.format("statestore").load(checkpoint).select(
-        F.col("key.digest").alias("digest"), F.col("value.*")
-    ).toDF("digest", "first", "hits")
+        # read while the bounds of the state's memory hold
+        state = spark.read.format("statestore").load(checkpoint).select(F.col("key.digest").alias("digest"), F.col("value.*")).toDF("digest", "first", "hits")
+        return written(state, "dedup-digests")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", checkpoint: str | None = None) -> DataFrame:
     """Returns a row per row of docs: id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after white-space runs became one space; null counts as
     empty. Of equal texts the row with the least id stays; a null id comes after all others.
     Where rows repeat with text and id, exactly one of them is kept. An empty table gives no
-    rows. Other columns of docs play no part.
+    rows. Other columns of docs play no part. With a checkpoint (a folder of the caller's) a run that
+    was stopped goes on with the same digest log and state; it is for one table and serves one run.
     """
     spark = docs.sparkSession
-    log_path, checkpoint = fresh_path(spark, "dedup-log"), fresh_path(spark, "dedup-state")
+    resumed, root = checkpoint is not None, checkpoint or fresh_path(spark, "dedup-state")
+    log_path, checkpoint = f"{root}/log", f"{root}/state"
     log = digest_log(docs, id_col, text_col)
-    log.write.parquet(log_path)
+    if not (resumed and _complete(spark, log_path)):
+        log.write.mode("overwrite").parquet(log_path)
     log = spark.read.schema(log.schema).parquet(log_path)
     state = run_stream(spark, log_path, log.schema, checkpoint)
     members = written(
@@ -137,16 +150,20 @@ def _result(members: DataFrame) -> DataFrame:
 
 
 def dedup_stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; of rows that repeat id and text, one."""
-    stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("id").alias("__id"), F.unhex("text_sha256").alias("__digest"))
-    keyed = docs.withColumn("__text_digest", F.unhex(F.sha2(normalised(docs[text_col]).cast("binary"), 256)))
-    rows = keyed.join(stays, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__text_digest") == F.col("__digest")), "left_semi")
-    repeated = written(keyed.groupBy(F.col(id_col).alias("__id"), F.col("__text_digest").alias("__digest")).count().where("count > 1").drop("count"), "dedup-repeated")
+    """The rows of docs that stay, with all their columns, whatever their names; of rows that repeat id and
+    text, one. Nulls, long texts and an empty table as in exact_dedup()."""
+    name = free_names(docs, "digest", "stays", "stays_digest", "again", "again_digest")
+    stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("id").alias(name["stays"]), F.unhex("text_sha256").alias(name["stays_digest"]))
+    keyed = docs.withColumn(name["digest"], F.unhex(F.sha2(normalised(docs[text_col]).cast("binary"), 256)))
+    digest = F.col(name["digest"])
+    rows = keyed.join(stays, keyed[id_col].eqNullSafe(F.col(name["stays"])) & (digest == F.col(name["stays_digest"])), "left_semi")
+    repeated = keyed.groupBy(keyed[id_col].alias(name["again"]), digest.alias(name["again_digest"])).agg(F.count(F.lit(1)).alias("count"))
+    repeated = written(repeated.where("count > 1").drop("count"), "dedup-repeated")
     if not repeated.isEmpty():
-        same = rows[id_col].eqNullSafe(F.col("__id")) & (F.col("__text_digest") == F.col("__digest"))
+        same = rows[id_col].eqNullSafe(F.col(name["again"])) & (digest == F.col(name["again_digest"]))
         rows = rows.join(repeated, same, "left_anti").unionByName(
-            rows.join(repeated, same, "left_semi").dropDuplicates([id_col, "__text_digest"]))
-    return rows.drop("__text_digest")
+            rows.join(repeated, same, "left_semi").dropDuplicates([id_col, name["digest"]]))
+    return rows.drop(name["digest"])
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
