@@ -1,30 +1,36 @@
 """Mixing sources to target weights by entropy balancing.
 
-Sought are document rates that hit every source's token target and otherwise stay as near to 1
-as possible, in relative entropy over tokens. The convex dual has one variable for each
-constraint; Newton steps on it need one aggregate over the documents each. The rates are the
-exponentially tilted exp(sum of the duals of a document's constraints), held at MAX_COPIES, and
-are then rounded into whole copies so that each source's words still meet the target.
+Sought are document rates, at most MAX_COPIES, that hit every source's token target and keep the bands of
+document length near their share of the corpus, and otherwise stay as near to 1 as possible, in relative
+entropy over tokens. The convex dual has one variable for each source and one for each band; a rate is the
+exponential of its source's and its band's. Newton steps run on the bands' duals, each with one aggregate
+over the sources, whose own duals follow in closed form. The rates are then rounded into whole copies: a
+document gets the whole part, and one more if its ticket is below a threshold at which the tickets of its
+source and size make up the rest of the rates' words. What one size leaves over goes on to the next smaller.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidar.llm.common import table, written
+from evidar.llm.common import free_names, table, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
-#: Totals of sources are collected; more sources than this are refused.
-MAX_SOURCES = 10_000
-#: A document above this share of its source's words is rounded one by one; fewer than 1/share of a source are.
-LARGE_SHARE = 0.01
-_ROUNDS, _BITS = 3, 8
-_TICKET_BITS = _ROUNDS * _BITS
+#: Lengths, in words, at which a band begins.
+BANDS = (0, 128, 512, 2048)
+#: A band may miss its share of all words by this times its dual: sources come first, and may leave no way to keep the bands.
+RIDGE = 0.02
+#: Greatest miss of the dual's slope, as a share of all words, at which Newton's steps end, and their greatest number.
+TOLERANCE, STEPS = 1e-9, 100
+#: Bits of a ticket, found in two turns.
+_HIGH, _LOW = 8, 16
+_TICKET_BITS = _HIGH + _LOW
 
 
 def word_count(text: Column) -> Column:
@@ -36,179 +42,241 @@ def ticket(doc_id: Column, text: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(doc_id, text), 64 - _TICKET_BITS)
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, most: float = MAX_COPIES) -> dict[str | None, float]:
-    """Each source's share of all words by its weight, held at most times its own words; what is
-    above is shared again by weight among the others, until none is above."""
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, free, out = float(sum(sizes.values())), list(order), {}
-    while free:
-        share = left / sum(weight[s] for s in free)
-        above = [s for s in free if share * weight[s] > most * sizes[s]]
-        if not above:
-            out |= {s: share * weight[s] for s in free}
-            break
-        for s in above:
-            out[s] = float(most * sizes[s])
-            left -= out[s]
-            free.remove(s)
-    return out
+def band_of(size: Column) -> Column:
+    return sum(((size >= at).cast("int") for at in BANDS[1:]), F.lit(0))
 
 
-def _key(source: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
+def class_of(size: Column) -> Column:
+    """Bits of the number of words: sizes of a class differ by less than a factor of two."""
+    return F.when(size > 0, F.length(F.bin(size))).otherwise(0)
 
 
-def _source_key(source: str | None) -> str:
-    return "null" if source is None else f"={source}"
+def _key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
 
 
-def newton_duals(rows: DataFrame, goal: dict[str, float], most: float = MAX_COPIES, tolerance: float = 1e-9, steps: int = 60) -> dict[str, float]:
-    """Duals of the token constraints. rows: source_key, size. Each step is one aggregate, in which
-    every document's tilted rate enters with its tokens; the driver gets a row for each source."""
-    spark = rows.sparkSession
-    duals = {k: 0.0 for k, v in goal.items() if v > 0}
-    open_ = set(duals)
-    for _ in range(steps):
-        if not open_:
+def ranked_sources(sources: DataFrame) -> DataFrame:
+    """sources with their rank (from 0) by code point, null last. Only the number of sources of each range
+    of the sort goes to the driver."""
+    dealt = sources.orderBy(F.col("source").asc_nulls_last()).withColumn("place", F.monotonically_increasing_id())
+    dealt = written(dealt, "mix-ranks")
+    part = F.shiftright("place", 33).cast("int")
+    counts = dealt.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    before, total = [], 0
+    for row in counts:
+        before.append((row.part, total))
+        total += row.n
+    starts = sources.sparkSession.createDataFrame(before, "part int, before long")
+    return dealt.withColumn("part", part).join(starts, "part").withColumn("rank", F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1)).drop("part", "place", "before")
+
+
+def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MAX_COPIES) -> DataFrame:
+    """sources(source, size, ...) with target: each source's share of all words by its weight, held at most times
+    its own words; what is above is shared again by weight among the others, until none is above."""
+    given = F.array(*map(F.lit, weights))
+    rows = ranked_sources(sources).withColumn("weight", F.element_at(given, (F.col("rank") % len(weights) + 1).cast("int"))).drop("rank")
+    rows = written(rows, "mix-weights")
+    total = rows.agg(F.sum("size").alias("n")).first().n or 0
+    full = F.col("size") * float(most)
+    level, before = 0.0, -1
+    # a source is full where its share would be above; each turn only more are
+    for _ in range(10_000):
+        held = full < F.col("weight") * F.lit(level)
+        row = rows.agg(F.count_if(held).alias("n"), F.sum(F.when(held, full).otherwise(0.0)).alias("full"), F.sum(F.when(held, 0.0).otherwise(F.col("weight"))).alias("weight")).first()
+        if row.n == before or not row.weight:
             break
-        small = spark.createDataFrame([(k, duals[k]) for k in sorted(open_)], "source_key string, dual double")
-        tilt = F.exp("dual")
-        found = (
-            rows.join(F.broadcast(small), "source_key")
-            .groupBy("source_key")
-            .agg(
-                F.sum(F.col("size") * F.least(tilt, F.lit(float(most)))).alias("words"),
-                F.sum(F.col("size") * tilt).alias("curvature"),
-            )
-            .collect()
-        )
-        for row in found:
-            k, miss = row.source_key, goal[row.source_key] - row.words
-            if abs(miss) <= tolerance * goal[k]:
-                open_.discard(k)
-            else:
-                # duals stay where rates are at most the greatest, so that the curvature there is the inner one
-                duals[k] = min(duals[k] + max(-2.0, min(2.0, miss / row.curvature)), math.log(most))
-    return duals
+        level, before = max(level, (total - row.full) / row.weight), row.n
+    return rows.withColumn("target", F.least(full, F.col("weight") * F.lit(level))).drop("weight")
+
+
+def source_rates(words: np.ndarray, target: np.ndarray, duals: np.ndarray, most: float) -> np.ndarray:
+    """The rate of each band of each source (words: source x band) at these duals of the bands. A source's own dual is
+    the one at which the rates' words are its target: with k bands at the greatest rate (those of the greatest
+    duals, one after another) it is what the others leave, if it holds none of these back."""
+    tilt, order = np.exp(duals), np.argsort(-duals, kind="stable")
+    own, settled = np.full(len(words), np.inf), np.zeros(len(words), bool)
+    for k in range(len(duals)):
+        rest = words[:, order[k:]] @ tilt[order[k:]]
+        left = np.maximum(target - most * words[:, order[:k]].sum(1), 0.0)
+        dual = np.divide(left, rest, out=np.full(len(words), np.inf), where=rest > 0)
+        fits = ~settled & (dual * tilt[order[k]] <= most)
+        own[fits] = dual[fits]
+        settled |= fits
+    return np.minimum(most, own[:, None] * tilt)
+
+
+def slopes(words: np.ndarray, target: np.ndarray, duals: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """What these sources add to the slope of the dual in the bands, and to its curvature once their own duals follow."""
+    rates = source_rates(words, target, duals, most)
+    taken = rates * words
+    free = np.where(rates < most, taken, 0.0)
+    inner = np.maximum(free.sum(1), 1e-300)
+    return taken.sum(0), np.diag(free.sum(0)) - (free / inner[:, None]).T @ free
+
+
+def band_duals(sources: DataFrame, most: float = MAX_COPIES) -> np.ndarray:
+    """The duals of the bands at the optimum. sources: w0 ..., target. Each Newton step is one aggregate, in which
+    every source's tilted words enter, summed in its task; the driver gets a slope and a curvature for each two bands."""
+    n = len(BANDS)
+    names = [f"w{b}" for b in range(n)]
+    sums = sources.agg(F.sum("target").alias("all"), *(F.sum(w).alias(w) for w in names)).first()
+    duals = np.zeros(n)
+    if not sums["all"]:
+        return duals
+    total, words = float(sums["all"]), np.array([float(sums[w]) for w in names])
+    goal = words / words.sum() * total
+
+    def at(duals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                slope, curve = slopes(batch[names].to_numpy(float), batch["target"].to_numpy(float), duals, most)
+                yield pd.DataFrame({"cell": np.arange(n + n * n), "x": np.concatenate((slope, curve.ravel()))})
+
+        rows = sources.select(*names, "target").mapInPandas(partial, "cell long, x double").groupBy("cell").agg(F.sum("x").alias("x")).collect()
+        cells = np.zeros(n + n * n)
+        for row in rows:
+            cells[row.cell] = row.x
+        return cells[:n] - goal + RIDGE * total * duals, cells[n:].reshape(n, n) + RIDGE * total * np.eye(n)
+
+    slope, curve = at(duals)
+    for _ in range(STEPS):
+        if np.abs(slope).max() <= TOLERANCE * total:
+            return duals
+        step = -np.linalg.solve(curve, slope)
+        step /= max(1.0, np.abs(step).max())
+        while True:
+            found = at(duals + step)
+            # where rates reach the greatest the curvature jumps: go on only to a lesser slope
+            if np.linalg.norm(found[0]) < np.linalg.norm(slope) or np.abs(step).max() < 1e-12:
+                break
+            step /= 2
+        duals, (slope, curve) = duals + step, found
+    raise ArithmeticError(f"the dual has not converged after {STEPS} steps: slope {np.abs(slope).max() / total:.2g} of all words")
+
+
+def with_rates(sources: DataFrame, duals: np.ndarray, most: float = MAX_COPIES) -> DataFrame:
+    """source_key, source_size, target, rates (of each band) of each source."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rates = source_rates(batch[[f"w{b}" for b in range(len(BANDS))]].to_numpy(float), batch["target"].to_numpy(float), duals, most)
+            yield batch[["source_key", "source_size", "target"]].assign(rates=list(np.where(np.isfinite(rates), rates, 0.0)))
+
+    given = sources.select("source_key", F.col("size").alias("source_size"), "target", *(f"w{b}" for b in range(len(BANDS))))
+    return given.mapInPandas(run, "source_key string, source_size long, target double, rates array<double>")
+
+
+def thresholds(cells: DataFrame, rows: DataFrame) -> DataFrame:
+    """source_key, class, floor, threshold. cells: source_key, class, rate, words; rows: source_key, class, ticket, size.
+    A document gets floor copies, one more if its ticket is below the threshold. From the largest class on,
+    whole ranges of tickets are taken while their words fit what is owed; what is left goes to the next class."""
+    high = rows.groupBy("source_key", "class", F.shiftright("ticket", _LOW).alias("digit")).agg(F.sum("size").alias("size"))
+    owed = cells.select("source_key", "class", F.floor("rate").cast("long").alias("floor"), ((F.col("rate") - F.floor("rate")) * F.col("words")).alias("owed"), "rate")
+    first = written(high.join(owed, ["source_key", "class"]).select("source_key", "class", "digit", "size", "floor", "owed", "rate").groupBy("source_key").applyInPandas(
+        _take, "source_key string, class int, floor long, owed double, digit long, rate double"), "mix-high")
+    at = first.select("source_key", "class", "floor", "owed", "rate", F.col("digit").alias("prefix"))
+    low = rows.join(at.select("source_key", "class", "prefix"), ["source_key", "class"]).where(F.shiftright("ticket", _LOW) == F.col("prefix"))
+    low = low.groupBy("source_key", "class", F.col("ticket").bitwiseAND((1 << _LOW) - 1).alias("digit")).agg(F.sum("size").alias("size"))
+    # what is owed here was carried on from class to class, so it belongs to the last one of each source
+    second = at.join(low, ["source_key", "class"], "left").select("source_key", "class", F.coalesce("digit", F.lit(0)).alias("digit"), F.coalesce("size", F.lit(0)).alias("size"), "floor", "owed", "rate")
+    found = second.groupBy("source_key").applyInPandas(_take_rest, "source_key string, class int, floor long, owed double, digit long, rate double")
+    return at.select("source_key", "class", "floor", "prefix").join(found.select("source_key", "class", "digit"), ["source_key", "class"]).select(
+        "source_key", "class", "floor", (F.shiftleft("prefix", _LOW) + F.col("digit")).alias("threshold"))
+
+
+def _classes(group: pd.DataFrame):
+    for size_class in sorted(group["class"].unique(), reverse=True):
+        part = group[group["class"] == size_class].sort_values("digit")
+        yield size_class, part
+
+
+def _take(group: pd.DataFrame) -> pd.DataFrame:
+    """The range of high digits at which each class stops; what is owed there and not taken goes to the next class."""
+    out, carried = [], 0.0
+    for size_class, part in _classes(group):
+        owed = carried + float(part["owed"].iloc[0])
+        sums = part["size"].to_numpy().cumsum()
+        fit = int(np.searchsorted(sums, owed, side="right"))
+        carried = owed - float(sums[fit - 1] if fit else 0)
+        digit = int(part["digit"].iloc[fit]) if fit < len(part) else 1 << _HIGH
+        out.append((part["source_key"].iloc[0], size_class, part["floor"].iloc[0], 0.0, digit, part["rate"].iloc[0]))
+    if out:
+        out[0] = (*out[0][:3], carried, *out[0][4:])
+    return pd.DataFrame(out, columns=["source_key", "class", "floor", "owed", "digit", "rate"])
+
+
+def _take_rest(group: pd.DataFrame) -> pd.DataFrame:
+    """As _take, by the low digits; the last document that would go over is taken if that comes nearer."""
+    out, carried = [], float(group["owed"].max())
+    parts = list(_classes(group))
+    for size_class, part in parts:
+        sums = part["size"].to_numpy().cumsum()
+        fit = int(np.searchsorted(sums, carried, side="right"))
+        got = float(sums[fit - 1] if fit else 0)
+        if size_class == parts[-1][0] and fit < len(part) and 2 * (carried - got) > float(part["size"].iloc[fit]):
+            got, fit = float(sums[fit]), fit + 1
+        carried -= got
+        digit = int(part["digit"].iloc[fit]) if fit < len(part) else 1 << _LOW
+        out.append((part["source_key"].iloc[0], size_class, part["floor"].iloc[0], 0.0, digit, part["rate"].iloc[0]))
+    return pd.DataFrame(out, columns=["source_key", "class", "floor", "owed", "digit", "rate"])
 
 
 class Mix:
-    """What decides about each document: params (a row for each source) and large (copies of large documents)."""
+    """What decides about each document: a row for each source and class of sizes."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  weights: tuple[float, ...] = WEIGHTS, most: int = MAX_COPIES):
-        self.columns, self.most = (id_col, text_col, source_col), most
-        spark = docs.sparkSession
-        rows = written(self._features(docs).select("id", "source", "source_key", "size", "ticket"), "mix-rows")
-        totals = rows.groupBy("source", "source_key").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
-        if len(totals) > MAX_SOURCES:
-            raise ValueError(f"more than {MAX_SOURCES} sources")
-        sizes = {r.source: r.size for r in totals}
-        goal = {_source_key(s): t for s, t in targets(sizes, weights, most).items()}
-        words = {_source_key(s): n for s, n in sizes.items()}
-        duals = newton_duals(rows, goal, most)
-        rates = {k: min(float(most), math.exp(duals[k])) if k in duals else 0.0 for k in goal}
-        base = spark.createDataFrame([(k, words[k], goal[k], rates[k]) for k in sorted(goal)],
-                                     "source_key string, source_size long, target double, rate double")
-        with_base = rows.join(F.broadcast(base), "source_key")
-        self.large = written(self._round_large(with_base.where(_is_large())), "mix-large")
-        params = self._thresholds(with_base.where(~_is_large()), goal, words)
-        self.params = spark.createDataFrame(
-            [(k, words[k], goal[k], rates[k], *params[k]) for k in sorted(goal)],
-            "source_key string, source_size long, target double, rate double, floor long, threshold long")
-
-    def _features(self, docs: DataFrame) -> DataFrame:
-        id_col, text_col, source_col = self.columns
-        return docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), _key(docs[source_col]).alias("source_key"),
-                           word_count(docs[text_col]).alias("size"), ticket(docs[id_col], docs[text_col]).alias("ticket"))
-
-    def _round_large(self, rows: DataFrame) -> DataFrame:
-        """From the largest on, each takes the number of copies that brings the running sum nearest to the rates' sum."""
-        most, kind = self.most, rows.schema["id"].dataType.simpleString()
-
-        def diffuse(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(["size", "ticket"], ascending=[False, True], kind="stable")
-            owed, copies = 0.0, []
-            for size, rate in zip(group["size"], group["rate"]):
-                owed += rate * size
-                n = max(0, min(most, math.floor(owed / size + 0.5)))
-                owed -= n * size
-                copies.append(n)
-            return group[["source_key", "size", "ticket"]].assign(copies=copies)
-
-        decided = rows.select("source_key", "size", "ticket", "rate").groupBy("source_key").applyInPandas(
-            diffuse, "source_key string, size long, ticket long, copies long")
-        # rows that repeat share what they take
-        return decided.groupBy("source_key", "size", "ticket").agg(F.max("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
-
-    def _thresholds(self, rows: DataFrame, goal: dict[str, float], words: dict[str, int]) -> dict[str, tuple[int, int]]:
-        """For each source floor and threshold: a document gets floor copies, one more if its ticket is
-        below the threshold. The threshold is found digit by digit, from sums by digit."""
-        taken = {r.source_key: (r.taken, r.size) for r in self.large.groupBy("source_key").agg(
-            F.sum(F.col("copies") * F.col("size") * F.col("n")).alias("taken"), F.sum(F.col("size") * F.col("n")).alias("size")).collect()}
-        floor, owed, prefix = {}, {}, {}
-        for k, goal_words in goal.items():
-            got, of_large = taken.get(k, (0, 0))
-            rest = words[k] - of_large
-            left = max(0.0, min(goal_words - got, float(self.most * rest)))
-            floor[k] = min(int(left // rest), self.most - 1) if rest else 0
-            owed[k], prefix[k] = left - floor[k] * rest, 0
-        spark = rows.sparkSession
-        for level in range(_ROUNDS):
-            shift = _TICKET_BITS - _BITS * (level + 1)
-            at = spark.createDataFrame([(k, prefix[k]) for k in sorted(prefix)], "source_key string, prefix long")
-            sums = (
-                rows.select("source_key", "size", "ticket").join(F.broadcast(at), "source_key")
-                .where(F.shiftright("ticket", shift + _BITS) == F.col("prefix"))
-                .groupBy("source_key", F.shiftright("ticket", shift).alias("digits")).agg(F.sum("size").alias("size")).collect()
-            )
-            by: dict[str, dict[int, int]] = {}
-            for row in sums:
-                by.setdefault(row.source_key, {})[row.digits] = row.size
-            for k in prefix:
-                digits = prefix[k] << _BITS
-                last = digits + (1 << _BITS) - 1
-                while digits < last and owed[k] >= (size := by.get(k, {}).get(digits, 0)):
-                    owed[k] -= size
-                    digits += 1
-                prefix[k] = digits
-                if level == _ROUNDS - 1 and owed[k] > by.get(k, {}).get(digits, 0) / 2:
-                    prefix[k] += 1
-        return {k: (floor[k], prefix[k]) for k in goal}
-
-    def decide(self, docs: DataFrame) -> DataFrame:
-        """docs with size, source_size, target, rate and copies (names led by two underscores)."""
+        self.columns = (id_col, text_col, source_col)
+        size = word_count(docs[text_col])
+        rows = docs.select(docs[source_col].alias("source"), _key(docs[source_col]).alias("source_key"), size.alias("size"), ticket(docs[id_col], docs[text_col]).alias("ticket"))
+        rows = written(rows, "mix-rows").withColumn("class", class_of(F.col("size")))
+        n = len(BANDS)
+        cells = written(rows.groupBy("source", "source_key", "class", band_of(F.col("size")).alias("band")).agg(F.sum("size").alias("words")), "mix-cells")
+        sources = cells.groupBy("source", "source_key").agg(
+            F.sum("words").alias("size"), *(F.sum(F.when(F.col("band") == b, F.col("words")).otherwise(0)).alias(f"w{b}") for b in range(n)))
+        sources = written(source_targets(sources, weights, most), "mix-sources")
+        sources = with_rates(sources, band_duals(sources, most), most)
+        rated = cells.join(sources, "source_key").select("source_key", "class", "words", "source_size", "target", F.coalesce(F.get("rates", F.col("band")), F.lit(0.0)).alias("rate"))
+        # bands begin at powers of two, so a class lies in one band
+        rated = written(rated, "mix-rates")
+        found = thresholds(rated, rows)
+        self.params = written(rated.join(found, ["source_key", "class"]).drop("words"), "mix-params")
+
+    def decide(self, docs: DataFrame, names: dict[str, str]) -> DataFrame:
+        """docs with size, source_size, target, rate and copies under the given names."""
         id_col, text_col, source_col = self.columns
-        large = self.large.select(F.col("source_key").alias("__lk"), F.col("size").alias("__ls"), F.col("ticket").alias("__lt"), F.col("copies").alias("__lc"))
-        params = self.params.toDF("__key", "__source_size", "__target", "__rate", "__floor", "__threshold")
-        rows = docs.withColumns({"__size": word_count(docs[text_col]), "__ticket": ticket(docs[id_col], docs[text_col]), "__source_key": _key(docs[source_col])})
-        rows = rows.join(F.broadcast(params), F.col("__source_key") == F.col("__key")).join(
-            large, (F.col("__source_key") == F.col("__lk")) & (F.col("__size") == F.col("__ls")) & (F.col("__ticket") == F.col("__lt")), "left")
-        copies = F.coalesce("__lc", F.col("__floor") + (F.col("__ticket") < F.col("__threshold")).cast("long"))
-        return rows.withColumn("__copies", copies)
-
-
-def _is_large() -> Column:
-    return F.col("size") > F.col("source_size") * LARGE_SHARE
+        size = word_count(docs[text_col])
+        params = self.params.select(*(F.col(c).alias(names.get(c, names["copies"] + c)) for c in self.params.columns))
+        own = lambda c: params[names["copies"] + c]
+        rows = docs.withColumn(names["size"], size)
+        rows = rows.join(params, (_key(rows[source_col]) == own("source_key")) & (class_of(rows[names["size"]]) == own("class")))
+        copies = own("floor") + (ticket(rows[id_col], rows[text_col]) < own("threshold")).cast("long")
+        return rows.withColumn(names["copies"], copies)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """id, size, source_size, target, taken, copies, rate for each row of docs.
 
     Null text has size 0; null source is a source of its own, the last. Rows that repeat id and
-    text get equal copies. An empty table gives no rows. No row is taken more than three times.
+    text get equal copies. An empty table gives no rows. No row is taken more than three times. A
+    very long text is a class of its own size, and what cannot be taken of it whole is taken of smaller
+    ones. Other columns, whatever their names, play no part.
     """
-    return Mix(docs, id_col, text_col, source_col, **how).decide(docs).select(
-        docs[id_col].alias("id"), F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-        (F.col("__copies") * F.col("__size")).alias("taken"), F.col("__copies").alias("copies"), F.col("__rate").alias("rate"))
+    names = free_names(docs, "size", "source_size", "target", "rate", "copies")
+    given = docs.select(docs[id_col], docs[text_col], docs[source_col])
+    found = Mix(given, id_col, text_col, source_col, **how).decide(given, names)
+    return found.select(
+        F.col(id_col).alias("id"), F.col(names["size"]).alias("size"), F.col(names["source_size"]).alias("source_size"), F.col(names["target"]).alias("target"),
+        (F.col(names["copies"]) * F.col(names["size"])).alias("taken"), F.col(names["copies"]).alias("copies"), F.col(names["rate"]).alias("rate"))
 
 
 def mixing_stage(docs: DataFrame) -> DataFrame:
-    """Each row of docs as many times as the mix takes it."""
-    columns = docs.columns
-    return Mix(docs).decide(docs).where("__copies > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*columns)
+    """Each row of docs as many times as the mix takes it, with its columns, whatever else they are named; nulls, long
+    texts, repeated rows and an empty table as in mix()."""
+    names = free_names(docs, "size", "source_size", "target", "rate", "copies", "copy")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = Mix(docs).decide(docs, names).where(F.col(names["copies"]) > 0)
+    return found.withColumn(names["copy"], F.explode(F.sequence(F.lit(1).cast("long"), F.col(names["copies"])))).select(*columns)
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
