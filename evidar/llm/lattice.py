@@ -7,6 +7,7 @@ in log space adds up all paths; with the backward one it gives expected counts o
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -14,14 +15,16 @@ import numpy as np
 MARK = "▁"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SIEVE_BITS = 20
-#: Longer words are taken one by one.
+#: Longer words are taken one by one, with the same result.
 LONG = 40
+#: Heat of the existing scores (which are ranks, less one, below zero) before any text is seen.
+FIRST_HEAT = 4000.0
 BLOCK = 20_000
 
 
 class Vocabulary:
     """Pieces of a sentencepiece model that can stand in words, then one for each byte, then the end.
-    rank is each piece's place by the model's own scores, best first."""
+    scores are the model's own, best first."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -35,6 +38,9 @@ class Vocabulary:
             scored.append((-model.get_score(i), piece))
         scored.sort()
         self.pieces = [p for _, p in scored]
+        scores = -np.array([s for s, _ in scored])
+        # a piece outside the ranks has a score far below all; it counts as the last
+        self.scores = np.maximum(scores, scores[scores > -1e8].min(initial=0.0) - 1)
         self.place = {p: k for k, p in enumerate(self.pieces)}
         self.bytes_at = len(self.pieces)
         self.end = self.bytes_at + 256
@@ -66,14 +72,37 @@ class Vocabulary:
         """The byte pieces of a character."""
         return [self.bytes_at + b for b in chr(code).encode("utf-8", "surrogatepass")]
 
-    def first_guess(self) -> np.ndarray:
-        """Log probabilities before any text is seen: by the existing scores' order, as one over the rank;
-        a thousandth each for all bytes together and for the end."""
+    def tempered(self, heat: float) -> np.ndarray:
+        """Probabilities by the existing scores: proportional to exp(score / heat); a thousandth each for all bytes
+        together and for the end, which have no scores."""
         p = np.zeros(self.size)
-        p[: self.bytes_at] = 0.998 / np.arange(1, self.bytes_at + 1) / (1 / np.arange(1, self.bytes_at + 1)).sum()
+        weight = np.exp((self.scores - self.scores[0]) / heat)
+        p[: self.bytes_at] = 0.998 * weight / weight.sum()
         p[self.bytes_at : self.end] = 0.001 / 256
         p[self.end] = 0.001
-        return np.log(p)
+        return p
+
+    def fitted_heat(self, expected: np.ndarray) -> float:
+        """The heat under which pieces so often expected are most probable, by golden section over its log."""
+        n = expected[: self.bytes_at]
+        cost = lambda x: -float(n @ np.log(np.maximum(self.tempered(math.exp(x))[: self.bytes_at], 1e-300)))
+        low, high, ratio = math.log(10.0), math.log(1e6), (math.sqrt(5) - 1) / 2
+        a, b = high - ratio * (high - low), low + ratio * (high - low)
+        at_a, at_b = cost(a), cost(b)
+        while high - low > 1e-4:
+            if at_a <= at_b:
+                high, b, at_b = b, a, at_a
+                a = high - ratio * (high - low)
+                at_a = cost(a)
+            else:
+                low, a, at_a = a, b, at_b
+                b = low + ratio * (high - low)
+                at_b = cost(b)
+        return math.exp((low + high) / 2)
+
+    def first_guess(self) -> np.ndarray:
+        """Log probabilities before any text is seen."""
+        return np.log(self.tempered(FIRST_HEAT))
 
 
 @lru_cache(2)
@@ -81,6 +110,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _log_add(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
 class Lattice:
     def __init__(self, vocab: Vocabulary, log_p: np.ndarray):
         self.vocab, self.log_p = vocab, log_p
@@ -134,38 +169,54 @@ class Lattice:
         out = np.zeros(len(words))
         for block, codes in self._by_length(words):
             if codes.shape[1] > LONG + 1:
-                out[block] = self._long(words[block[0]])
+                out[block] = self._long(words[block[0]])[-1]
             else:
                 out[block] = self._forward(codes, list(self._edges(codes)), self._spelled(codes))[-1]
         return out.tolist()
 
-    def _long(self, word: str) -> float:
-        """The forward recursion for one word, with only as much held as the longest piece needs."""
-        text, place, longest, log_p = MARK + word, self.vocab.place, self.vocab.longest, self.log_p
+    def _pieces_at(self, text: str, start: int) -> list[tuple[int, int]]:
+        """(end, piece) of each piece of the vocabulary that begins at a place of a text."""
+        place = self.vocab.place
+        stops = range(start + 1, min(len(text), start + self.vocab.longest) + 1)
+        return [(stop, piece) for stop in stops if (piece := place.get(text[start:stop])) is not None]
+
+    def _long(self, word: str) -> list[float]:
+        """The forward recursion for one word: natural log of the probability of its first 0, 1, ... characters, the mark being one."""
+        text = MARK + word
         spelled = {c: float(self._spelled(np.array([ord(c)]))[0]) for c in set(text)}
-        window = [-np.inf] * longest
-        now = 0.0
+        alpha = [0.0] + [-math.inf] * len(text)
         for start, c in enumerate(text):
-            window[0] = float(np.logaddexp(window[0], now + spelled[c]))
-            for size in range(1, min(longest, len(text) - start) + 1):
-                piece = place.get(text[start : start + size])
-                if piece is not None:
-                    window[size - 1] = float(np.logaddexp(window[size - 1], now + log_p[piece]))
-            now = window.pop(0)
-            window.append(-np.inf)
-        return now
+            alpha[start + 1] = _log_add(alpha[start + 1], alpha[start] + spelled[c])
+            for stop, piece in self._pieces_at(text, start):
+                alpha[stop] = _log_add(alpha[stop], alpha[start] + float(self.log_p[piece]))
+        return alpha
+
+    def _count_long(self, word: str, times: float, total: np.ndarray) -> None:
+        """Adds the expected pieces of one word, as often as it occurs."""
+        text, alpha = MARK + word, self._long(word)
+        spelled = {c: float(self._spelled(np.array([ord(c)]))[0]) for c in set(text)}
+        letters: dict[str, float] = {}
+        beta = [-math.inf] * len(text) + [0.0]
+        for start in range(len(text) - 1, -1, -1):
+            base = alpha[start] - alpha[-1]
+            by_byte = spelled[text[start]] + beta[start + 1]
+            letters[text[start]] = letters.get(text[start], 0.0) + math.exp(min(0.0, base + by_byte)) * times
+            beta[start] = by_byte
+            for stop, piece in self._pieces_at(text, start):
+                own = float(self.log_p[piece]) + beta[stop]
+                total[piece] += math.exp(min(0.0, base + own)) * times
+                beta[start] = _log_add(beta[start], own)
+        for c, n in letters.items():
+            np.add.at(total, self.vocab.spelling(ord(c)), n)
 
     def expected_counts(self, words: list[str], times: np.ndarray) -> np.ndarray:
-        """Expected pieces over all segmentations of the words, each as often as it occurs. Words above
-        LONG characters count by their bytes and characters' pieces alone, in parts of LONG."""
+        """Expected pieces over all segmentations of the words, each as often as it occurs."""
         total = np.zeros(self.vocab.size)
-        short, weight = [], []
-        for word, n in zip(words, times):
-            for at in range(0, max(1, len(word)), LONG):
-                short.append(word[at : at + LONG])
-                weight.append(n)
-        weights = np.array(weight, float)
-        for block, codes in self._by_length(short):
+        weights = np.asarray(times, float)
+        for block, codes in self._by_length(words):
+            if codes.shape[1] > LONG + 1:
+                self._count_long(words[block[0]], weights[block[0]], total)
+                continue
             n, length = codes.shape
             edges, spelled = list(self._edges(codes)), self._spelled(codes)
             alpha = self._forward(codes, edges, spelled)

@@ -1,8 +1,9 @@
 """Language-model scores by subword lattice likelihood.
 
-The vocabulary and its first scores are an existing model's; how probable each piece is, is learned
-from the words of the training documents by expectation maximisation over all segmentations. A
-document's score is the log10 of its probability summed over all segmentations of its words, and of
+The vocabulary and its scores are an existing model's. The scores of this vocabulary are ranks of merges, not
+log probabilities, so they weight pieces by exp(score / heat), the heat being fitted to the training words.
+Under these weights, as a prior worth PRIOR_PIECES pieces, the probability of each piece is learned from the
+words of the training documents by expectation maximisation over all segmentations. A document's score is the log10 of its probability summed over all segmentations of its words, and of
 the end. Beside it stands the score of an add-one word unigram model, whose counts are joined.
 """
 
@@ -11,26 +12,25 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidar.llm.common import held_out, table, written
-from evidar.llm.lattice import Lattice, vocabulary
+from evidar.llm.common import held_out, table, worker_cache, written
+from evidar.llm.lattice import Lattice, Vocabulary, vocabulary
 from evidar.llm.simhash import _LOWER
 from evidar.llm.words import CHUNK_CHARS, WordCache
 
 VOCABULARY = "piece_bpe_32k.model"
 EM_ROUNDS = 3
-#: Added to each piece's expected count.
-FLOOR = 0.1
+#: Pieces that the existing scores count for beside the training words.
+PRIOR_PIECES = 10_000.0
 #: The most frequent words whose counts every executor gets; all others are joined.
 HEAD_WORDS = 250_000
-#: Words whose scores a worker holds (twice as many just after a change of generation).
-CACHED_WORDS = 300_000
+#: Bytes of words whose scores a worker holds.
+CACHED_BYTES = 48 << 20
 #: Words counted in a task before they are passed on.
 HELD_WORDS = 400_000
 _LN10 = math.log(10)
@@ -64,11 +64,11 @@ def count_words(texts: DataFrame) -> DataFrame:
             total.clear()
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for words in word_chunks(text):
+            for text in batch.column(0):
+                for words in word_chunks(text.as_py()):
                     total.update(words)
-                if len(total) > HELD_WORDS:
-                    yield from drain()
+                    if len(total) > HELD_WORDS:
+                        yield from drain()
         yield from drain()
 
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -92,14 +92,21 @@ def learn(counts: DataFrame, documents: int, path: str, rounds: int = EM_ROUNDS)
             yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["piece", "n"])
 
         sums = counts.select("word", "n").mapInArrow(expect, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-        expected = np.full(vocab.size, FLOOR)
+        expected = np.zeros(vocab.size)
         for row in sums:
             expected[row.piece] += row.n
         expected[vocab.end] += documents
-        log_p = np.log(expected / expected.sum())
+        given.destroy()
+        log_p = updated(vocab, expected)
     return log_p
 
 
+def updated(vocab: Vocabulary, expected: np.ndarray) -> np.ndarray:
+    """Log probabilities from expected counts and the existing scores at the heat that fits these counts best."""
+    sums = expected + PRIOR_PIECES * vocab.tempered(vocab.fitted_heat(expected))
+    return np.log(sums / sums.sum())
+
+
 def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[str, float]:
     """log10 of one more than the count of all words that occur at least so often that there are no more than most of them."""
     step = F.floor(F.log2("n") * 16)
@@ -113,11 +120,6 @@ def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[str, float]:
     return {} if least is None else {r.word: math.log10(r.n + 1) for r in counts.where(F.col("n") >= least).select("word", "n").collect()}
 
 
-@lru_cache(1)
-def _word_cache(path: str, key: bytes) -> WordCache:
-    return WordCache(Lattice(vocabulary(path), np.frombuffer(key)).word_scores, CACHED_WORDS)
-
-
 class Scorer:
     """The learned model with the word counts of the training documents (a table) beside it."""
 
@@ -144,7 +146,7 @@ class Scorer:
         fields = f"uid long, id {kind}, held_out boolean, word string, times long, n_tokens long, n_known long, base double, score double"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cache, known = _word_cache(path, model.value), head.value
+            cache, known = worker_cache(f"scores {hash(model.value)}", lambda: WordCache(Lattice(vocabulary(path), np.frombuffer(model.value)).word_scores, CACHED_BYTES)), head.value
             end_score = float(np.frombuffer(model.value)[-1])
             for batch in batches:
                 uids, ids, folds, texts = (c for c in batch.columns)
