@@ -25,11 +25,15 @@ DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads of fewer bytes are never revisits.
 MIN_REVISIT_BYTES = 0
-#: Records in an archive at most, and characters of the reader's batches.
-RECORDS_PER_ARCHIVE = 4000
+#: Archives end after so many lots of members; a lot ends with the member that brings it to so many bytes.
+LOTS_PER_ARCHIVE, LOT_BYTES = 32, 1 << 20
+#: Bytes of payloads in the reader's batches.
 BATCH_BYTES = 4 << 20
+#: A longer header is damaged.
+MAX_HEADER = 1 << 20
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
+_BLANK = re.compile(rb"\r?\n\r?\n")
 _ID = "<urn:evidar:page:%s>"
 
 
@@ -63,9 +67,14 @@ def member(record: bytes) -> bytes:
     return press.compress(record) + press.flush()
 
 
+#: A member without content, whose last byte is NUL.
+_NOTHING = member(b"")
+
+
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Writes a record for each row of pages to archives under path. Of rows with equal payloads of
-    at least min_bytes bytes, those with the least id are responses and the others revisit it."""
+    at least min_bytes bytes, those with the least id are responses and the others revisit it. Archives are
+    rolled by their bytes."""
     payload = F.coalesce(pages[html_col], F.lit("")).cast("binary")
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].alias("html"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("n"))
     firsts = rows.where(F.col("n") >= min_bytes).groupBy("digest", "n").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
@@ -74,21 +83,27 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         "id", "url", "html", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot, size = [], 0
+
+        def close() -> pa.RecordBatch:
+            # the sink ends each lot with NUL: the last byte of a member of less than 16 MiB, after others one without content
+            data = b"".join(lot)
+            data = data[:-1] if data[-1] == 0 else data + _NOTHING[:-1]
+            lot.clear()
+            return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["lot"])
+
         for batch in batches:
-            out, size = [], 0
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                data = member(page_record(*row))
-                # the sink ends each line with NUL, which is the last byte of a member of less than 16 MiB
-                out.append(data[:-1] if data[-1] == 0 else data)
-                size += len(data)
-                if size > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-                    out, size = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-
-    records = marked.mapInArrow(build, "record binary").select(F.col("record").cast("string").alias("value"))
-    records.write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
+            for row in zip(*batch.columns):
+                lot.append(member(page_record(*(x.as_py() for x in row))))
+                size += len(lot[-1])
+                if size >= LOT_BYTES:
+                    yield close()
+                    size = 0
+        if lot:
+            yield close()
+
+    lots = marked.mapInArrow(build, "lot binary").select(F.col("lot").cast("string").alias("value"))
+    lots.write.option("lineSep", "\0").option("maxRecordsPerFile", LOTS_PER_ARCHIVE).text(path)
 
 
 class Broken(ValueError):
@@ -100,7 +115,7 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     version = _VERSION.match(data, at)
     if version is None:
         raise Broken("no version line")
-    blank = re.compile(rb"\r?\n\r?\n").search(data, version.end() - 2)
+    blank = _BLANK.search(data, version.end() - 2, version.end() + MAX_HEADER)
     if blank is None:
         raise Broken("header does not end")
     fields: dict[str, str] = {}
@@ -115,7 +130,7 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     if stop > len(data):
         raise Broken("block is cut off")
     block = data[blank.end() : stop]
-    end = re.compile(rb"\r?\n\r?\n").match(data, stop)
+    end = _BLANK.match(data, stop)
     if end is None:
         raise Broken("record does not end")
     claimed = fields.get("warc-block-digest", "")
@@ -193,7 +208,7 @@ def _unit(data: bytes, view: memoryview, at: int) -> tuple[list[tuple[dict[str,
         found = list(_records(content, why in (None, CUT_OFF)))
         if why:
             return [u for u in found if u[2] is None], end, why
-        return found or [(None, b"", "member is empty")], end, None
+        return found, end, None
     try:
         fields, block, end = parse_record(data, at)
     except Broken as e:
@@ -239,7 +254,8 @@ ROW = ("archive string, kind string, start long, stop long, reason string, warc_
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record (kind record) and each quarantined range of bytes (kind gap) of the
     archives under path. payload_bytes and payload_digest are of the payload as found in the record;
-    a revisit has none. Archives are read whole, one after another, so none should be above 1 GiB."""
+    a revisit has none. A task reads its archives one after another, each whole, since Spark has no source of
+    ranges of bytes; so none should be above 1 GiB."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[t]) for n, t in (x.split(" ") for x in ROW.split(", "))])
@@ -269,24 +285,37 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     payload_digest, record_type, refers_to for each record.
 
     A null html counts as empty. A null id comes after all others and is read back as null. Rows that
-    repeat id and payload are responses each. An empty table gives no rows. A revisit gets the size
-    and digest of the response that it refers to.
+    repeat id and payload are responses each. An empty table gives no rows. Very long pages are records
+    of their own size; other columns play no part. A revisit gets the size and digest of the response that
+    it refers to. Raises where the archives do not give back every page.
     """
-    spark = pages.sparkSession
-    path = fresh_path(spark, "warc")
+    path = fresh_path(pages.sparkSession, "warc")
     write_archives(pages, path, id_col, url_col, html_col, min_bytes)
-    kind = pages.schema[id_col].dataType.simpleString()
+    found, gaps = read_back(pages.sparkSession, path, pages.schema[id_col].dataType.simpleString())
+    given, came = pages.count(), found.count()
+    if given != came:
+        lost = gaps.orderBy("archive", "start").limit(5).collect()
+        raise RuntimeError(f"{given - came} of {given} pages did not come back; first gaps: {[(r.archive, r.start, r.stop, r.reason) for r in lost]}")
+    return found
+
+
+def read_back(spark: SparkSession, path: str, kind: str = "long") -> tuple[DataFrame, DataFrame]:
+    """What the salvage reader finds of archives of pages: id (of this kind), payload_bytes, payload_digest, record_type,
+    refers_to of each record, and the quarantine log: archive, start, stop, reason of each gap. A revisit whose
+    response is lost has neither size nor digest."""
     page_of = lambda c: F.regexp_extract(c, r"^<urn:evidar:page:(.*)>$", 1)
-    found = read_archives(spark, path).where("warc_type in ('response', 'revisit')").select(
+    read = written(read_archives(spark, path).drop("payload", "target_uri"), "warc-records")
+    gaps = read.where("kind = 'gap'").select("archive", "start", "stop", "reason")
+    found = read.where("warc_type in ('response', 'revisit')").select(
         page_of("record_id").alias("page"), page_of("refers_to").alias("refers"), "warc_type", "payload_bytes", "payload_digest", "claimed_digest")
-    found = written(found, "warc-records")
     responses = found.where("warc_type = 'response'").groupBy(F.col("page").alias("of"), F.col("payload_digest").alias("of_digest")).agg(F.max("payload_bytes").alias("of_bytes"))
     revisits = found.where("warc_type = 'revisit'").join(responses, (F.col("refers") == F.col("of")) & (F.col("claimed_digest") == F.col("of_digest")), "left")
     as_id = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(kind)
-    return found.where("warc_type = 'response'").select(
+    rows = found.where("warc_type = 'response'").select(
         as_id("page").alias("id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.lit(None).cast(kind).alias("refers_to")
     ).unionByName(revisits.select(
         as_id("page").alias("id"), F.col("of_bytes").alias("payload_bytes"), F.col("of_digest").alias("payload_digest"), F.col("warc_type").alias("record_type"), as_id("refers").alias("refers_to")))
+    return rows, gaps
 
 
 def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
