@@ -21,8 +21,8 @@ ESTIMATOR_TYPES = {
     "verified_sale": "verified_sale", "buyout": "unknown",
 }
 URGENT_WORDS = ("急售", "急出")
-URGENT_NEGATED = ("不急售", "非急售", "不急出", "無急售", "没有急售", "沒有急售")
-BROKERAGE_WORDS = ("含仲",)
+URGENT_NEGATED = r"(?:不|非|不是|並非|并非)\s*急(?:售|出)"
+BROKERAGE_WORD = "含仲"
 PRICE_TERM = r"[0-9]+(?:\.[0-9]+)?\s*萬|[0-9]{3,}\s*(?:元|台幣|NTD)?"
 INSTALLMENT = r"分期|分\s*(?:[0-9]+|[一二三四五六七八九十]+)\s*期"
 SURCHARGE = r"(?:另加|加收|加價|加\s*價|超過\s*(?:一|1)\s*期\s*加|(?:分期|期付款)[^，。；;]{0,24}?加)\s*(?:NTD|台幣|元|\$)?\s*[0-9]+"
@@ -46,13 +46,9 @@ def estimator_price_type(price_type: Column, sale_verified: Column, completed_pr
     return F.when(verified, "verified_sale").otherwise(vocabulary(F.coalesce(price_type, F.lit("unknown")), ESTIMATOR_TYPES))
 
 
-def _any(words: tuple[str, ...]) -> str:
-    return "|".join(words)
-
-
 def urgent_claim(text: Column) -> Column:
     """An urgent sale is claimed once its negations are taken away."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), _any(URGENT_NEGATED), "").rlike(_any(URGENT_WORDS))
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "(?U)" + URGENT_NEGATED, "").rlike("|".join(URGENT_WORDS))
 
 
 def urgent_override(price_type: Column, text: Column) -> Column:
@@ -66,7 +62,7 @@ def price_semantic_review(text: Column, price_type: Column) -> Column:
     """What keeps a price from being one cash price for one account: brokerage within it, or terms that
     give several prices. Null where nothing does; an amount is never chosen."""
     said = F.coalesce(text, F.lit(""))
-    brokerage = said.rlike(_any(BROKERAGE_WORDS))
+    brokerage = said.contains(BROKERAGE_WORD)
     badges = said.contains("含勳章") & said.contains("不含勳章") & said.contains("分期") & (F.regexp_count(said, F.lit(PRICE_TERM)) >= 3)
     surcharge = said.rlike(INSTALLMENT) & said.rlike("(?i)" + SURCHARGE)
     several = badges | surcharge

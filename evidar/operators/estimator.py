@@ -77,7 +77,9 @@ def dimensions(t: str, c: str) -> tuple[dict[str, Column], dict[str, Column]]:
     family = [sim.account_family(F.coalesce(x, F.lit("unknown"))) for x in pair("base_account_type")]
     account = F.when(F.coalesce(a == b, F.lit(False)), 1.0).when((family[0] != "unknown") & (family[0] == family[1]), 0.6).otherwise(0.0)
     sets = sim.jaccard(*pair("complete_set_ids")) * 0.7 + sim.jaccard(*pair("mentioned_set_ids")) * 0.3
-    numbers = [sim.relative_similarity(f(t, f"resources.{r}").cast("double"), f(c, f"resources.{r}").cast("double")) for r in RESOURCES]
+    # what a text gives as about so much is no measurement, so it is unknown here
+    exact = lambda s, r: F.when(~F.coalesce(F.array_contains(f(s, "approximate_resources"), r), F.lit(False)), f(s, f"resources.{r}").cast("double"))
+    numbers = [sim.relative_similarity(exact(t, r), exact(c, r)) for r in RESOURCES]
     ratio_a, ratio_b = pair("map_completion_ratio")
     maps = F.coalesce(F.greatest(F.lit(0.0), 1 - F.abs(ratio_a - ratio_b)), sim.known_map_similarity(*pair("map_completion")), F.lit(0.0))
     values = {
@@ -104,8 +106,9 @@ CONTENT_DIMENSIONS = ("seasons", "items_sets", "map_completion", "collection", "
 
 def estimate(targets: DataFrame, comparables: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(estimates, ledger). Both inputs are flat profiles (account_id, ..., see dimensions()); comparables
-    carry input_ordinal, selected_price_twd and authorized. Targets are the small side: each is compared
+    carry input_ordinal, selected_price_twd and authorized. A profile may name approximate_resources. Targets are the small side: each is compared
     with every comparable, since those that fail must be accounted for, and nothing else is kept of them."""
+    targets, comparables = (p if "approximate_resources" in p.columns else p.withColumn("approximate_resources", F.array().cast("array<string>")) for p in (targets, comparables))
     left = targets.select(F.col("account_id").alias("target_id"), F.struct(*targets.columns).alias("t"))
     right = comparables.select(F.struct(*comparables.columns).alias("c"))
     pairs = right.crossJoin(F.broadcast(left)).withColumn("codes", hard_pool_codes("t", "c"))

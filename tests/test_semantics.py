@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidar.functions import claims, digests, prices, similarity, text
-from evidar.operators import audit, estimator, matching, modelling, provenance, relate, splits
+from evidar.operators import audit, estimator, matching, modelling, provenance, relate, seasons, splits
 from evidar.sources import readers, sinks
 
 
@@ -48,22 +48,54 @@ A = {"表演": "season_performance", "破曉": "season_shattering", "極光": "s
 ORDER = {"season_prophecy": 0, "season_performance": 1, "season_shattering": 2, "season_aurora": 3, "season_carnival": 4}
 
 
-def test_season_range_with_gap():
-    seasons, unresolved = claims.SeasonParser(A, ORDER).parse("表演～狂歡無斷，缺破曉；預言季卡")
-    by = {s.season_id: s for s in seasons}
-    assert not unresolved and by["season_shattering"].status == "confirmed_missing" and by["season_aurora"].status == "owned_not_complete"
-    assert by["season_prophecy"].pass_owned == "yes"
-    assert claims.season_summary(seasons, ORDER)["gap_segments"] == [["season_shattering"]]
-    plain, _ = claims.SeasonParser(A, ORDER).parse("表演～狂歡")
-    assert {s.season_id: s.status for s in plain}["season_aurora"] == "unknown"
-    assert claims.SeasonParser({"破碎": "s"}, {"s": 1}).parse("破碎半畢業")[0][0].status == "partial"
-
-
-def test_bindings():
-    said = claims.binding_claims("GG、GC、NS 前號主不出")
+def season_rows(spark, text, aliases=A, order=ORDER):
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, text string")
+    return seasons.season_claims(rows, "id", "text", aliases, order)
+
+
+def test_season_range_with_gap(spark):
+    found = season_rows(spark, "表演～狂歡無斷，缺破曉；預言季卡")
+    by = {r.season_id: r for r in found.collect()}
+    assert by["season_shattering"].status == "confirmed_missing" and by["season_aurora"].status == "owned_not_complete"
+    assert by["season_prophecy"].pass_owned == "yes" and by["season_prophecy"].id == 1
+    assert [(r["first"], r["last"]) for r in seasons.season_runs(found, ORDER, ("confirmed_missing",)).collect()] == [(2, 2)]
+    assert sorted((r["first"], r["last"]) for r in seasons.season_runs(found, ORDER).collect()) == [(0, 1), (3, 4)]
+    assert seasons.season_summary(found, ORDER).first().earliest_season_id == "season_prophecy"
+    assert {r.season_id: r.status for r in season_rows(spark, "表演～狂歡").collect()}["season_aurora"] == "unknown"
+
+
+def test_season_rules(spark):
+    cases = [
+        ("狂歡畢業，極光有卡未畢", {"season_carnival": ("complete", "yes"), "season_aurora": ("owned_not_complete", "yes")}),
+        ("表演1/2 破曉", {"season_performance": ("partial", "unknown"), "season_shattering": ("owned_not_complete", "unknown")}),
+        ("表演與極光半畢業", {"season_performance": ("partial", "unknown"), "season_aurora": ("partial", "unknown")}),
+        ("畢業季節：表演、極光", {"season_performance": ("complete", "unknown"), "season_aurora": ("complete", "unknown")}),
+        ("極光無卡，狂歡全畢業但狂歡未畢", {"season_aurora": ("owned_not_complete", "no"), "season_carnival": ("owned_not_complete", "no")}),
+        ("預言～表演全畢", {"season_prophecy": ("complete", "unknown"), "season_performance": ("complete", "unknown")}),
+        ("凜冬畢業", {}), (None, {}), ("", {}),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "id long, text string")
+    got = {i: {} for i in range(len(cases))}
+    for r in seasons.season_claims(rows, "id", "text", A, ORDER).collect():
+        got[r.id][r.season_id] = (r.status, r.pass_owned)
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_everyday_words_are_seasons_only_where_presented_as_such(spark):
+    cases = [("破碎半畢業", True), ("破碎季", True), ("季節：破碎", True), ("破碎～表演", True), ("破碎的翅膀", False), ("不含破碎季", False), ("表演破碎畢業", False), ("集結大家一起玩", False)]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "id long, text string")
+    found = {r.id: r.status for r in seasons.season_claims(rows, "id", "text", {"破碎": "s", "集結": "s", "表演": "p"}, {"s": 1, "p": 5}).where("season_id = 's'").collect()}
+    assert set(found) == {i for i, (_, counts) in enumerate(cases) if counts} and found[0] == "partial"
+
+
+def test_bindings(spark):
+    get = lambda t: one(spark, claims.binding_matrix(F.col("t")), t=t)
+    said = get("GG、GC、NS 前號主不出")
     assert {said[p] for p in ("google", "game_center", "nintendo")} == {"high_risk"} and said["steam"] == "unknown"
-    later = claims.binding_claims("Google、Apple ID、任天堂綁定不出，Google、PlayStation、Steam 可出")
+    later = get("Google、Apple ID、任天堂綁定不出，Google、PlayStation、Steam 可出")
     assert later["google"] == "high_risk" and later["steam"] == "available"
+    two = one(spark, claims.binding_matrix(F.col("t"), F.col("u")), t="GG 可出", u="GG 遺失；FB")
+    assert two["google"] == "high_risk" and two["facebook"] == "mentioned_unknown" and set(get(None).values()) == {"unknown"}
 
 
 def test_resources(spark):
@@ -92,6 +124,7 @@ def test_merged_claims(spark):
 def test_price_words(spark):
     urgent = lambda p, t: one(spark, prices.urgent_override(F.col("p"), F.col("t")), p=p, t=t)
     assert urgent("asking", "急售 100") == "urgent_sale" and urgent("sold_explicit", "急售後已售") == "sold_claim" and urgent("asking", "不急售") == "normal_listing"
+    assert all(urgent("asking", t) == "normal_listing" for t in ("不是急售", "非急出", "不 急售", "並非急出")) and urgent("asking", "沒有急售") == "urgent_sale" and urgent("asking", "不急售，急出") == "urgent_sale"
     review = lambda t: one(spark, prices.price_semantic_review(F.col("t"), F.lit("asking")), t=t)
     assert review("標價 56000 台幣；最多分三期，超過一期加 500；").multi_price and review("可分三期付款") is None
     assert review("即付不含勳章7.0萬、含勳章7.2萬，分期7.3至7.5萬").reason_codes == ["multiple_price_terms", "badge_inclusion_price_variants", "installment_price_variants"]
