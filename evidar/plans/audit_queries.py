@@ -213,10 +213,10 @@ def universe_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("cross_type_quarantine", """
-WITH n AS (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS name_key, count(DISTINCT p_brand) AS types FROM part WHERE p_size > 48 GROUP BY 1)
-SELECT p_partkey, name_key, p_brand, types > 1 AS quarantined FROM part JOIN n ON n.name_key = regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') WHERE p_size > 48""")
+WITH n AS (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS name_key, count(DISTINCT p_brand) AS types FROM part GROUP BY 1)
+SELECT p_partkey, name_key, p_brand, types > 1 AS quarantined FROM part JOIN n ON n.name_key = regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g')""")
 def cross_type_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").where("p_size > 48").select("p_partkey", text.ascii_alnum(F.col("p_name")).alias("name_key"), "p_brand")
+    rows = table(spark, sf_dir, "part").select("p_partkey", text.ascii_alnum(F.col("p_name")).alias("name_key"), "p_brand")
     return audit.quarantine(rows, "name_key", "p_brand")
 
 

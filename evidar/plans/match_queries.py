@@ -168,15 +168,15 @@ def nearest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("crosswalk_names", """
 WITH s AS (SELECT p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS k FROM part WHERE p_size <= 25),
-c AS (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') || lower(p_type) AS k, count(DISTINCT p_partkey) AS n, min(p_partkey) AS m FROM part WHERE p_size > 48 GROUP BY 1),
-d AS (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') || lower(p_type) AS k, count(DISTINCT p_partkey) AS n, min(p_partkey) AS m FROM part WHERE p_size BETWEEN 46 AND 48 GROUP BY 1),
+c AS (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') || lower(p_type) AS k, count(DISTINCT p_partkey) AS n, min(p_partkey) AS m FROM part WHERE p_size > 35 GROUP BY 1),
+d AS (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') || lower(p_type) AS k, count(DISTINCT p_partkey) AS n, min(p_partkey) AS m FROM part WHERE p_size BETWEEN 26 AND 35 GROUP BY 1),
 x AS (SELECT p_partkey, CASE WHEN c.n = 1 THEN 'canonical' WHEN c.n > 1 THEN 'canonical_ambiguous' WHEN d.n = 1 THEN 'candidate' WHEN d.n > 1 THEN 'candidate_ambiguous' ELSE 'unmatched' END AS status, c.m AS cm, d.m AS dm
       FROM (SELECT p.p_partkey, s.k || lower(p.p_type) AS k FROM s JOIN part p USING (p_partkey)) LEFT JOIN c USING (k) LEFT JOIN d USING (k))
 SELECT p_partkey, status, CASE status WHEN 'canonical' THEN cm WHEN 'candidate' THEN dm END AS match_id FROM x""")
 def crosswalk_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     key = F.concat(lower_alnum(F.col("p_name")), F.lower("p_type"))
-    return relate.crosswalk(part.where("p_size <= 25"), "p_partkey", key, part.where("p_size > 48"), "p_partkey", key, part.where("p_size between 46 and 48"), "p_partkey", key)
+    return relate.crosswalk(part.where("p_size <= 25"), "p_partkey", key, part.where("p_size > 35"), "p_partkey", key, part.where("p_size between 26 and 35"), "p_partkey", key)
 
 
 @query("query_index_collisions", """
@@ -194,23 +194,23 @@ def query_index_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("claim_resolution", """
-WITH c AS (SELECT user_id AS entity_id, CASE event_type WHEN 'purchase' THEN 'owned' WHEN 'signup' THEN 'owned' WHEN 'error' THEN 'confirmed_missing' ELSE 'unknown' END AS state FROM events WHERE value > 150),
+WITH c AS (SELECT user_id AS entity_id, CASE event_type WHEN 'purchase' THEN 'owned' WHEN 'signup' THEN 'owned' WHEN 'error' THEN 'confirmed_missing' ELSE 'unknown' END AS state FROM events),
 s AS (SELECT entity_id, count(DISTINCT state) FILTER (state <> 'unknown') AS known, min(state) FILTER (state <> 'unknown') AS state, count(*) AS claims FROM c GROUP BY 1),
-i AS (SELECT c_custkey, c_acctbal > 9000 AS ambiguous, c_acctbal < 0 AS review_only FROM customer WHERE c_nationkey <> 7),
+i AS (SELECT c_custkey, c_acctbal > 9000 AS ambiguous, c_acctbal < 0 AS review_only FROM customer),
 r AS (SELECT *, CASE WHEN c_custkey IS NULL THEN 'unknown_reference' WHEN known > 1 THEN 'conflict' WHEN ambiguous THEN 'ambiguous' WHEN review_only THEN 'review_only' WHEN known = 0 THEN 'unknown' ELSE 'resolved' END AS status
       FROM s LEFT JOIN i ON entity_id = c_custkey)
 SELECT entity_id, status, CASE WHEN status = 'resolved' THEN state ELSE 'unknown' END AS state, claims FROM r""")
 def claim_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
-    claims = table(spark, sf_dir, "events").where("value > 150").select(
+    claims = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("entity_id"), F.when(kind.isin("purchase", "signup"), "owned").when(kind == "error", "confirmed_missing").otherwise("unknown").alias("state"))
-    index = table(spark, sf_dir, "customer").where("c_nationkey <> 7").select(F.col("c_custkey").alias("entity_id"), (F.col("c_acctbal") > 9000).alias("ambiguous"), (F.col("c_acctbal") < 0).alias("review_only"))
+    index = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"), (F.col("c_acctbal") > 9000).alias("ambiguous"), (F.col("c_acctbal") < 0).alias("review_only"))
     return relate.resolve_claims(claims, index)
 
 
 STATE_SQL = """
 WITH e AS (SELECT o_custkey, p_type, bool_or(l_returnflag <> 'R') AS pos, bool_or(l_returnflag = 'R' AND l_quantity > 40) AS neg
-           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_discount > 0.07 GROUP BY ALL),
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL),
 v AS (SELECT c_custkey, t.p_type, CASE WHEN coalesce(pos, false) AND coalesce(neg, false) THEN 'unknown' WHEN coalesce(pos, false) THEN 'owned' WHEN coalesce(neg, false) THEN 'confirmed_missing' ELSE 'unknown' END AS state
       FROM customer CROSS JOIN (SELECT DISTINCT p_type FROM part) t LEFT JOIN e ON o_custkey = c_custkey AND e.p_type = t.p_type)
 """
@@ -219,7 +219,7 @@ v AS (SELECT c_custkey, t.p_type, CASE WHEN coalesce(pos, false) AND coalesce(ne
 def type_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    lines = table(spark, sf_dir, "lineitem").where("l_discount > 0.07").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
     flag = F.col("l_returnflag")
     evidence = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("c_custkey", "p_type").agg(
         F.bool_or(flag != "R").alias("positive"), F.bool_or((flag == "R") & (F.col("l_quantity") > 40)).alias("negative"))

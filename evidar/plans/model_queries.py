@@ -26,12 +26,12 @@ def feature_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("feature_nested", """
-WITH n AS (SELECT o_custkey, list({'id': o_orderkey, 'status': o_orderstatus}) AS a FROM orders WHERE o_totalprice > 450000 GROUP BY 1),
+WITH n AS (SELECT o_custkey, list({'id': o_orderkey, 'status': o_orderstatus}) AS a FROM orders GROUP BY 1),
 b AS (SELECT c_custkey, unnest(a) AS e FROM customer JOIN n ON o_custkey = c_custkey)
 SELECT c_custkey, 'segment' AS feature, c_mktsegment AS value FROM customer UNION ALL SELECT c_custkey, 'orders.' || e.id || '.status', e.status FROM b
 UNION ALL SELECT c_custkey, 'orders', '__empty__' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM n)""")
 def feature_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 450000").groupBy("o_custkey").agg(
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))).alias("a"))
     rows = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
     there = F.coalesce("a", F.array().cast("array<struct<id:bigint,status:string>>"))

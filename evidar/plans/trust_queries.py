@@ -55,10 +55,10 @@ def prune_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("receipt_gate", """
-WITH g AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS i, count(DISTINCT year(o_orderdate)) AS g, count(DISTINCT o_orderstatus) AS c FROM orders WHERE o_totalprice > 250000 GROUP BY 1)
+WITH g AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS i, count(DISTINCT year(o_orderdate)) AS g, count(DISTINCT o_orderstatus) AS c FROM orders GROUP BY 1)
 SELECT o_custkey, i >= 2 AND g >= 2 AND c >= 2 AS passed, concat_ws(',', CASE WHEN i < 2 THEN 'issuers_below_two' END, CASE WHEN g < 2 THEN 'groups_below_two' END, CASE WHEN c < 2 THEN 'evidence_class_missing' END) AS codes FROM g""")
 def receipt_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    receipts = table(spark, sf_dir, "orders").where("o_totalprice > 250000").select(
+    receipts = table(spark, sf_dir, "orders").select(
         "o_custkey", F.col("o_orderpriority").alias("issuer"), F.year("o_orderdate").alias("group"), F.col("o_orderstatus").alias("evidence_class"))
     return provenance.receipt_gate(receipts, "o_custkey").withColumn("codes", F.array_join("codes", ","))
 
