@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evidar.functions.gates import Gate, disposition, fails, ledger_codes, reason_codes
 from evidar.functions.prices import training_line
+from evidar.operators.selection import percentiles
 
 # Fixed values of the outlier rule.
 Z_SCALE, Z_LIMIT, MIN_GROUP = 0.6745, 3.5, 10
@@ -36,12 +37,12 @@ def cluster_rank(rows: DataFrame, cluster: str, line: str, latest: tuple[str, ..
 
 
 def modified_z(rows: DataFrame, value: Column, keys: list[str], name: str = "modified_z", size: str = "group_size") -> DataFrame:
-    """Modified z of value within keys (null where the spread is 0) and the size of the group. Medians
-    are exact and added up in each task before they are shuffled; rows join them by key."""
+    """Modified z of value within keys (null where the spread is 0) and how many values the group has. Medians are
+    exact, and no task holds a group; rows join them by key."""
     x = rows.withColumn("__x", value)
-    centre = x.groupBy(*keys).agg(F.median("__x").alias("__m"), F.count(F.lit(1)).alias(size))
+    centre = percentiles(x, keys, F.col("__x"), {"__m": 0.5}).withColumnRenamed("n", size)
     x = x.join(centre, keys)
-    spread = x.groupBy(*keys).agg(F.median(F.abs(F.col("__x") - F.col("__m"))).alias("__mad"))
+    spread = percentiles(x, keys, F.abs(F.col("__x") - F.col("__m")), {"__mad": 0.5}).drop("n")
     return x.join(spread, keys).withColumn(
         name, F.when(F.col("__mad") != 0, F.lit(Z_SCALE) * (F.col("__x") - F.col("__m")) / F.col("__mad"))).drop("__x", "__m", "__mad")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidar.functions.gates import Gate, reason_codes
+from evidar.operators.selection import percentiles
 
 # Acceptance thresholds.
 LIMITS = {"mdape": 0.20, "p90_ape": 0.40, "baseline_improvement": 0.15, "selector_improvement": 0.10,
@@ -16,11 +17,9 @@ def ape(actual: Column, predicted: Column) -> Column:
     return F.abs(actual - predicted) / actual
 
 
-def upper_median(value: Column) -> Column:
-    """The value at place n // 2 of the sorted values (not the mean of the middle two). Counts of equal values are
-    added up in each task; meant for groups whose distinct values fit a task."""
-    values = F.array_sort(F.collect_list(value))
-    return F.element_at(values, (F.floor(F.size(values) / 2) + 1).cast("int"))
+def upper_median(rows: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
+    """keys, n and the value at place n // 2 of the sorted values of each group (not the mean of the middle two)."""
+    return percentiles(rows, keys, value, {name: 0.5}, "upper")
 
 
 def cluster_metrics(rows: DataFrame, keys: list[str], cluster: str) -> DataFrame:

@@ -64,17 +64,18 @@ def digest_order(rows: DataFrame, key: Column, first: int) -> DataFrame:
 
 def quota_sample(rows: DataFrame, key: str, strata: list[tuple[str, Column]], quota: int) -> DataFrame:
     """quota rows of least key for each stratum in order, no row twice. A stratum needs no more than
-    quota rows beyond those that earlier strata can have taken, so each brings that many candidates
-    and the choice itself is made among those few."""
-    candidates = None
-    for k, (name, predicate) in enumerate(strata):
-        part = rows.where(predicate).orderBy(key).limit(quota * (k + 1)).select(F.col(key).alias("key"), F.lit(k).alias("place"), F.lit(name).alias("stratum"))
-        candidates = part if candidates is None else candidates.unionByName(part)
-    taken: set = set()
-    out: list[tuple] = []
+    quota rows beyond those that earlier strata can have taken, so each brings that many candidates,
+    found in one pass over rows, and the choice itself is made among those few."""
+    fits = F.array_compact(F.array(*[F.when(predicate, F.lit(k)) for k, (_, predicate) in enumerate(strata)]))
+    every = rows.select(F.col(key).alias("key"), F.explode(fits).alias("place"))
+    # each task keeps as many of a stratum as can be asked for
+    within = F.row_number().over(Window.partitionBy("place").orderBy("key"))
+    candidates = every.withColumn("rank", within).where(F.col("rank") <= quota * len(strata)).where(F.col("rank") <= quota * (F.col("place") + 1))
     by_stratum: dict[int, list] = {}
     for row in candidates.collect():
         by_stratum.setdefault(row.place, []).append(row.key)
+    taken: set = set()
+    out: list[tuple] = []
     for k, (name, _) in enumerate(strata):
         fresh = [x for x in sorted(by_stratum.get(k, [])) if x not in taken][:quota]
         taken.update(fresh)
@@ -84,8 +85,8 @@ def quota_sample(rows: DataFrame, key: str, strata: list[tuple[str, Column]], qu
 
 
 def grouped_folds(rows: DataFrame, group: str, folds: int, name: str = "fold") -> DataFrame:
-    """Fold of each group, all its rows together. Folds are balanced by groups' hashed order, weighted
-    by the rows before them, so no list of all groups is gathered."""
+    """Fold of each group, all its rows together. Groups of about one size are dealt out in turn in each slice
+    of their hash, so folds differ by few groups of each size, and no list of all groups is gathered."""
     sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     # by size class: groups of one class are dealt out in turn in each of many slices of the hash
     slices = sizes.withColumn("__class", F.floor(F.log2("n"))).withColumn("__slice", F.pmod(F.xxhash64(group), F.lit(64)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidar.functions.gates import disposition, ledger_codes, reason_codes
-from evidar.operators import cleaning, publication, relate, splits
+from evidar.operators import cleaning, publication, relate, selection, splits
 from evidar.plans.registry import query
 from evidar.sources.tables import table
 
@@ -117,16 +117,19 @@ def outlier_small_group_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT c_nationkey, round(median(c_acctbal), 6) AS true_median, round(list_sort(list(c_acctbal))[(count(*) // 2 + 1)::BIGINT], 6) AS upper_median,
        min(c_acctbal) AS low, max(c_acctbal) AS high FROM customer GROUP BY 1""")
 def upper_vs_true_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
-        F.round(F.median("c_acctbal"), 6).alias("true_median"), F.round(publication.upper_median(F.col("c_acctbal")), 6).alias("upper_median"),
-        F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"))
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")
+    value = F.col("c_acctbal")
+    true = selection.percentiles(rows, ["c_nationkey"], value, {"true_median": 0.5}).drop("n")
+    upper = publication.upper_median(rows, ["c_nationkey"], value, "upper_median").drop("n")
+    ends = rows.groupBy("c_nationkey").agg(F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"))
+    return ends.join(true, "c_nationkey").join(upper, "c_nationkey").withColumns({n: F.round(n, 6) for n in ("true_median", "upper_median")})
 
 
 @query("percentile_linear", """
 SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.1), 4) AS p10, round(quantile_cont(o_totalprice, 0.9), 4) AS p90, count(*) AS n FROM orders GROUP BY 1""")
 def percentile_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
-        F.round(F.percentile("o_totalprice", 0.1), 4).alias("p10"), F.round(F.percentile("o_totalprice", 0.9), 4).alias("p90"), F.count(F.lit(1)).alias("n"))
+    found = selection.percentiles(table(spark, sf_dir, "orders"), ["o_orderpriority"], F.col("o_totalprice"), {"p10": 0.1, "p90": 0.9})
+    return found.select("o_orderpriority", F.round("p10", 4).alias("p10"), F.round("p90", 4).alias("p90"), "n")
 
 
 @query("cluster_weighted_error", """
