@@ -5,19 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written under spark.checkpoint.dir and read again: its plan starts anew there. Only a local[...]
-    session without that setting gets a temporary folder."""
-    spark = df.sparkSession
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new path under spark.checkpoint.dir. Only a local[...] session without that setting gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="evidar-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/evidar-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/evidar-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written under spark.checkpoint.dir and read again: its plan starts anew there."""
+    path = fresh(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
