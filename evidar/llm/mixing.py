@@ -170,9 +170,9 @@ def thresholds(cells: DataFrame, rows: DataFrame) -> DataFrame:
     """source_key, class, floor, threshold. cells: source_key, class, rate, words; rows: source_key, class, ticket, size.
     A document gets floor copies, one more if its ticket is below the threshold. From the largest class on,
     whole ranges of tickets are taken while their words fit what is owed; what is left goes to the next class."""
-    high = rows.groupBy("source_key", "class", F.shiftright("ticket", _LOW).alias("digit")).agg(F.sum("size").alias("size"))
+    high = rows.groupBy("source_key", "class", F.shiftright("ticket", _LOW).alias("digit")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
     owed = cells.select("source_key", "class", F.floor("rate").cast("long").alias("floor"), ((F.col("rate") - F.floor("rate")) * F.col("words")).alias("owed"), "rate")
-    first = written(high.join(owed, ["source_key", "class"]).select("source_key", "class", "digit", "size", "floor", "owed", "rate").groupBy("source_key").applyInPandas(
+    first = written(high.join(owed, ["source_key", "class"]).select("source_key", "class", "digit", "size", "n", "floor", "owed", "rate").groupBy("source_key").applyInPandas(
         _take, "source_key string, class int, floor long, owed double, digit long, rate double"), "mix-high")
     at = first.select("source_key", "class", "floor", "owed", "rate", F.col("digit").alias("prefix"))
     low = rows.join(at.select("source_key", "class", "prefix"), ["source_key", "class"]).where(F.shiftright("ticket", _LOW) == F.col("prefix"))
@@ -191,12 +191,15 @@ def _classes(group: pd.DataFrame):
 
 
 def _take(group: pd.DataFrame) -> pd.DataFrame:
-    """The range of high digits at which each class stops; what is owed there and not taken goes to the next class."""
+    """The range of high digits at which each class stops; what is owed there and not taken goes to the next class.
+    A document that has a range to itself is taken too if that comes nearer; the next class then owes less."""
     out, carried = [], 0.0
     for size_class, part in _classes(group):
         owed = carried + float(part["owed"].iloc[0])
         sums = part["size"].to_numpy().cumsum()
         fit = int(np.searchsorted(sums, owed, side="right"))
+        if fit < len(part) and part["n"].iloc[fit] == 1 and 2 * (owed - float(sums[fit - 1] if fit else 0)) > float(part["size"].iloc[fit]):
+            fit += 1
         carried = owed - float(sums[fit - 1] if fit else 0)
         digit = int(part["digit"].iloc[fit]) if fit < len(part) else 1 << _HIGH
         out.append((part["source_key"].iloc[0], size_class, part["floor"].iloc[0], 0.0, digit, part["rate"].iloc[0]))
