@@ -167,6 +167,19 @@ def put_and_probe(fps: DataFrame, plan: list[tuple[list[int], int]]) -> DataFram
     return fps.select("fp").mapInArrow(run, "key long, fp long")
 
 
+def split_hot(met: DataFrame, tau: int = TAU, most: int = LARGE_BUCKET) -> DataFrame:
+    """met with the rows of buckets above most under tau + 1 keys of smaller ones instead, one for each block of
+    bits: two that differ in tau bits at most agree on one of the blocks, so no link is lost."""
+    hot = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(F.col("key").alias("hot"))
+    hot = written(hot, "simhash-hot")
+    if hot.isEmpty():
+        return met
+    width = -(-BITS // (tau + 1))
+    blocks = [F.xxhash64("key", F.lit(k), F.shiftrightunsigned("fp", k * width).bitwiseAND((1 << width) - 1)) for k in range(tau + 1)]
+    large = met.join(hot, F.col("key") == F.col("hot")).select(F.explode(F.array(*blocks)).alias("key"), "fp")
+    return met.join(hot, F.col("key") == F.col("hot"), "left_anti").unionByName(large)
+
+
 def verify(met: DataFrame, tau: int = TAU) -> DataFrame:
     """Edges a, b between fingerprints that met under a key and differ in at most tau bits, or that
     are connected through such; enough of them to connect all that are, at most SMALL_BUCKET a row."""
@@ -244,7 +257,7 @@ def link(prints: DataFrame, tau: int = TAU) -> DataFrame:
     by_print = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
     if by_print.isEmpty():
         return by_print.select("fp", F.col("least").alias("component_id"))
-    edges = written(verify(put_and_probe(by_print, make_plan(by_print, tau)), tau).distinct(), "simhash-edges")
+    edges = written(verify(split_hot(put_and_probe(by_print, make_plan(by_print, tau)), tau), tau).distinct(), "simhash-edges")
     labels = connected(edges)
     linked = labels.join(by_print, labels["node"] == by_print["fp"]).select("node", "root", "least")
     roots = linked.groupBy("root").agg(F.min("least").alias("component_id"))
