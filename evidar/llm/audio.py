@@ -148,7 +148,8 @@ def _prints(ids: pa.Array, found: list[np.ndarray | None]) -> pa.RecordBatch:
 
 
 def fingerprint_media(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """id and print (packed integers, null where the bytes are no recording) of a column of WAV bytes."""
+    """id and print (packed integers, null where the bytes are no recording) of a column of WAV bytes. Repeated rows
+    repeat, an empty table gives no rows, long recordings are taken whole, and other columns play no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

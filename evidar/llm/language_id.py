@@ -19,7 +19,7 @@ from evidar.llm.common import held_out, release_caches, table
 
 PROFILE_SIZE = 400
 DOCUMENT_SIZE = 300
-#: The profiles are collected; more languages than this are refused.
+#: Languages whose profiles are collected at most; beyond it learn_profiles raises rather than drop one.
 MAX_LANGUAGES = 2000
 UNDETERMINED = "und"
 _BITS = 21
@@ -137,7 +137,8 @@ class Classifier:
 def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, lang_pred, score for each row, from the whole text alone. A null text or one
     without letters is `und` with score 0, as is every text where profiles is empty; ties go to the
-    language first by code point."""
+    language first by code point. Repeated rows repeat, an empty table gives no rows, long texts are taken
+    whole, and other columns play no part."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(profiles)

@@ -19,6 +19,8 @@ _SIEVE_BITS = 20
 LONG = 40
 #: Heat of the existing scores (which are ranks, less one, below zero) before any text is seen.
 FIRST_HEAT = 4000.0
+#: Least heat that is fitted, so that no piece is impossible.
+LEAST_HEAT = 1000.0
 BLOCK = 20_000
 
 
@@ -86,7 +88,7 @@ class Vocabulary:
         """The heat under which pieces so often expected are most probable, by golden section over its log."""
         n = expected[: self.bytes_at]
         cost = lambda x: -float(n @ np.log(np.maximum(self.tempered(math.exp(x))[: self.bytes_at], 1e-300)))
-        low, high, ratio = math.log(10.0), math.log(1e6), (math.sqrt(5) - 1) / 2
+        low, high, ratio = math.log(LEAST_HEAT), math.log(1e6), (math.sqrt(5) - 1) / 2
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         at_a, at_b = cost(a), cost(b)
         while high - low > 1e-4:

@@ -30,7 +30,11 @@ PRIOR_PIECES = 10_000.0
 #: The most frequent words whose counts every executor gets; all others are joined.
 HEAD_WORDS = 250_000
 #: Bytes of words whose scores a worker holds.
-CACHED_BYTES = 48 << 20
+CACHED_BYTES = 128 << 20
+#: Characters whose new words are scored together: the more there are, the more words of a length go through one array.
+GROUP_CHARS = 1 << 22
+#: Words whose pieces are counted together.
+GROUP_WORDS = 100_000
 #: Words counted in a task before they are passed on.
 HELD_WORDS = 400_000
 _LN10 = math.log(10)
@@ -85,9 +89,15 @@ def learn(counts: DataFrame, documents: int, path: str, rounds: int = EM_ROUNDS)
 
         def expect(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             lattice = Lattice(vocabulary(path), given.value)
-            total = np.zeros(vocabulary(path).size)
+            total, words, times = np.zeros(vocabulary(path).size), [], []
             for batch in batches:
-                total += lattice.expected_counts(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False))
+                words += batch.column(0).to_pylist()
+                times += batch.column(1).to_pylist()
+                if len(words) >= GROUP_WORDS:
+                    total += lattice.expected_counts(words, np.array(times))
+                    words, times = [], []
+            if words:
+                total += lattice.expected_counts(words, np.array(times))
             there = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["piece", "n"])
 
@@ -199,14 +209,14 @@ class Scorer:
 
 
 def _groups(texts: list[str | None]) -> Iterator[list[tuple[int, Counter[str]]]]:
-    """Groups of (index of the text, counts of words of it or a part of it), of about CHUNK_CHARS together."""
+    """Groups of (index of the text, counts of words of it or a part of it), of about GROUP_CHARS together."""
     group: list[tuple[int, Counter[str]]] = []
     size = 0
     for i, text in enumerate(texts):
         for words in word_chunks(text):
             group.append((i, Counter(words)))
             size += len(words)
-            if size * 6 > CHUNK_CHARS:
+            if size * 6 > GROUP_CHARS:
                 yield group
                 group, size = [], 0
     if group:
@@ -224,7 +234,8 @@ def _batch(uids: pa.Array, ids: pa.Array, folds: pa.Array, origin: list[int], wo
 
 def score_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Learns from the documents that are not held out (crc32 of the id as text modulo 7 is 2; a null id
-    never is) and scores all. Repeated rows repeat; an empty table gives no rows."""
+    never is) and scores all. A null text counts as empty. Repeated rows repeat; an empty table gives no rows;
+    long texts and words are scored whole; other columns play no part."""
     fold = held_out(docs[id_col], 7, 2)
     return Scorer(docs, ~fold, path, text_col).score(docs, id_col, text_col, fold)
 

@@ -27,6 +27,8 @@ WINDOW = 2048
 END_ID = 1
 #: Bytes of words, and of pre-tokens, whose ids a worker holds.
 CACHED_BYTES = 24 << 20
+#: Characters whose ids are found together.
+GROUP_CHARS = 1 << 18
 BIN = 8
 _BIG = 1 << 48
 #: Salts among which the pieces of a length are ranked; more where there are more than 20,000 pieces a salt.
@@ -77,7 +79,7 @@ def cut(texts: list[str | None], path: str, window: int = WINDOW) -> Iterator[tu
             start += n
 
     at = None
-    for group, words in grouped(texts):
+    for group, words in grouped(texts, GROUP_CHARS):
         cache.learn(words)
         for i, own in group:
             if at is not None and i != at:
@@ -266,7 +268,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """id, start, length, ids_crc32, doc_tokens, sequence_id, offset of each piece.
 
     Every id of every row lies in exactly one piece. A null text counts as empty and gives a
-    piece of the end id alone; rows that repeat are packed each; an empty table gives no rows.
+    piece of the end id alone; rows that repeat are packed each; an empty table gives no rows; a very
+    long text fills many sequences; other columns play no part.
     """
     spark = docs.sparkSession
     rows = written(pieces(docs, path, id_col, text_col), "pack-pieces")
@@ -287,6 +290,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
 
 def packing_stage(docs: DataFrame) -> DataFrame:
+    """The pieces of docs as in pack(), with doc_id."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path(VOCABULARY)).withColumnRenamed("id", "doc_id")

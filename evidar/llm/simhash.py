@@ -56,7 +56,8 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """id and fingerprint (its 64 bits as a long) of each row of docs."""
+    """id and fingerprint (its 64 bits as a long) of each row of docs. Null and blank texts have 0, long ones are hashed
+    part by part, repeated rows repeat, an empty table gives no rows, and other columns play no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
