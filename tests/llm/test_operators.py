@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from evidar.llm import audio, components, exact_dedup, language_id, lattice, lm_scoring, mixing, near_dedup, packing, registry, simhash, substring_dedup, token_counts, warc, words  # noqa: E402
+from evidar.llm import audio, common, components, exact_dedup, language_id, lattice, lm_scoring, mixing, near_dedup, packing, registry, similar, simhash, substring_dedup, token_counts, warc, words  # noqa: E402
 from tests.oracle import connect, difference  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,6 +58,16 @@ def test_token_counts_equal_the_library(spark, docs, empty, corpus):
     assert {r.id: r.n_bytes for r in rows}[1] == 0 and token_counts.token_counts(empty, path).count() == 0
 
 
+def test_long_words_are_counted_as_by_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    library, rng = Tokenizer.from_file(path), np.random.default_rng(2)
+    letters = lambda n, of="etaoinshrdlu": "".join(rng.choice(list(of), n))
+    texts = [letters(n) for n in (511, 512, 513, 3000)] + ["ab" * 900, "a" * 1001, letters(700, "ab"), letters(600) + "ééß" * 40, "日本語" * 300, letters(1_000_000)]
+    assert token_counts.count_texts(texts, path).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_slices_lose_no_word():
     text = "ab cde  f " * 1000
     assert [w for part in words.slices(text, 50) for w in words.split_words(part)] == text.split()
@@ -84,6 +94,51 @@ def test_substring_dedup_against_brute_force(spark, docs, empty, corpus):
     assert len(out) == docs.count() and all(r.text is not None for r in out)
 
 
+def plain_runs(text):
+    """The rule by words and regular expressions: texts of the runs, with their first sentence and length. Only which words
+    end a sentence is asked of the operator, word by word."""
+    words = list(re.finditer(r"\S+\s*", text))
+    ends = []
+    for k, m in enumerate(words):
+        body = m[0].rstrip()
+        picked = int(substring_dedup.Group([body]).first[0] >> np.uint64(32)) % substring_dedup.PARTED == 0
+        stop = m[0] != body and re.search(r"[.!?][\"'»”)\]]*$", body)
+        if picked or stop or "\n" in m[0] or k + 1 == len(words):
+            ends.append(k + 1)
+    starts, out = [0, *ends[:-1]], []
+    for i, start in enumerate(starts):
+        for j in range(i + substring_dedup.SPAN_SENTENCES - 1, len(ends)):
+            if ends[j] - start >= substring_dedup.SPAN_WORDS:
+                out.append((" ".join(m[0].strip() for m in words[start : ends[j]]), i, j + 1 - i))
+                break
+    return out
+
+
+def test_runs_against_plain_rules(spark, corpus):
+    texts = {i: r.text for i, r in sorted(corpus.items()) if r.text and r.text.isascii()}
+    texts = dict(list(texts.items())[:80])
+    runs = {i: plain_runs(t) for i, t in texts.items()}
+    for i, t in texts.items():
+        assert [(a, n) for _, a, n in substring_dedup.spans(t)] == [(a, n) for _, a, n in runs[i]]
+    first = {}
+    for i, found in runs.items():
+        for text, at, _ in found:
+            first.setdefault(text, (i, at))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.id: r for r in substring_dedup.remove_repeats(docs).collect()}
+    for i, found in runs.items():
+        gone = {k for text, at, n in found if first[text] != (i, at) for k in range(at, at + n)}
+        assert got[i].n_removed == len(gone)
+        assert got[i].text == "".join(texts[i][a:b] for k, (a, b) in enumerate(substring_dedup.sentences(texts[i])) if k not in gone)
+
+
+def test_very_long_texts_are_parted_alike(monkeypatch, corpus):
+    text = "\n".join(r.text or "" for r in list(corpus.values())[:40]) + "x" * 5000 + " end. " + "字" * 3000
+    whole = substring_dedup.spans(text), substring_dedup.sentences(text)
+    monkeypatch.setattr(substring_dedup, "WINDOW", 777)
+    assert (substring_dedup.spans(text), substring_dedup.sentences(text)) == whole and "".join(text[a:b] for a, b in whole[1]) == text
+
+
 def test_passage_is_removed_where_it_comes_again(spark):
     rng = np.random.default_rng(5)
     sentence = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)).capitalize() + "."
@@ -187,6 +242,40 @@ def test_salvage_searches_inside_members():
     assert ids(warc.salvage(press(bare, records[1])[:-8] + b"\0" * 8)) == [1]
 
 
+def test_damaged_archives_are_read_around(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"<p>{i}</p>" * 30) for i in range(60)] + [(60, "u", "<p>3</p>" * 30)], "page_id long, url string, html string").coalesce(1)
+    path = f"file://{tmp_path}/archives"
+    warc.write_archives(pages, path)
+    (part,) = [f for f in (tmp_path / "archives").iterdir() if f.name.startswith("part")]
+    data = bytearray(part.read_bytes())
+    data[len(data) // 2] ^= 0xFF
+    part.write_bytes(data)
+    (tmp_path / "archives" / f".{part.name}.crc").unlink(missing_ok=True)
+    found, gaps = warc.read_back(spark, path)
+    assert found.count() == 60 and [(r.start < len(data) // 2 < r.stop) for r in gaps.collect()] == [True]
+
+
+def test_round_trip_raises_where_pages_are_lost(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}</p>") for i in range(5)], "page_id long, url string, html string")
+    whole = warc.read_back
+    monkeypatch.setattr(warc, "read_back", lambda *a: (whole(*a)[0].where("id <> 3"), whole(*a)[1]))
+    with pytest.raises(RuntimeError, match="1 of 5 pages"):
+        warc.round_trip(pages)
+
+
+def test_large_members_and_lots(monkeypatch):
+    big = warc.member(warc.page_record(1, "u", "z" * (17 << 20), None))
+    assert big[-1] != 0
+    lot = big + warc._NOTHING + warc.member(warc.page_record(2, "u", "b", None))
+    units = list(warc.salvage(lot))
+    assert [u[0] for u in units] == ["record", "record"] and len(warc.payload_of(units[0][4])) == 17 << 20
+    import gzip
+
+    assert gzip.decompress(lot).count(b"WARC/1.1") == 2  # another reader goes on past the member without content
+    # false starts do not make it read to the end each time
+    assert [u[0] for u in warc.salvage(b"WARC/1.1\r\nx" * 20_000)] == ["gap"]
+
+
 # 4 packing
 
 
@@ -276,6 +365,12 @@ def test_links_against_brute_force(spark, dense):
     assert [got[i] for i in range(len(prints))] == components_of(prints)
 
 
+def test_hot_buckets_are_split_without_losing_links(spark, monkeypatch):
+    # all rows under a few keys, so that every bucket is hot
+    monkeypatch.setattr(near_dedup, "split_hot", lambda met, tau, f=near_dedup.split_hot: f(met.withColumn("key", F.col("key") * 0), tau, 5))
+    test_links_against_brute_force(spark, True)
+
+
 def test_every_allocation_covers_and_forest_splits():
     for m in near_dedup.PARTITIONS:
         for n in (10, 10**5, 10**8, 10**11):
@@ -298,6 +393,77 @@ def test_components_of_a_path(spark):
     assert all(got[i] == 0 for i in range(61)) and got[101] == got[100] == 100
 
 
+def jaccard(a, b):
+    def shingles(t):
+        w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def near_copies(n=60, seed=4):
+    """Texts with copies of one to four changed words each, and copies of copies."""
+    rng, texts = np.random.default_rng(seed), []
+    for _ in range(n):
+        words = ["".join(w) for w in rng.choice(list("abcdefghij"), (int(rng.integers(60, 240)), 5))]
+        texts.append(" ".join(words))
+        for _ in range(int(rng.integers(0, 4))):
+            words = list(words)
+            for k in rng.choice(len(words), int(rng.integers(1, 5)), replace=False):
+                words[k] = words[k][::-1] + "x"
+            texts.append(" ".join(words))
+    return texts
+
+
+def test_similar_groups_against_brute_force(spark, corpus):
+    texts = near_copies() + [r.text for r in list(corpus.values())[:80]] + ["one two", "ONE  two", "", None, " "]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    root = list(range(len(texts)))
+    for i, j in pairs:
+        a, b = sorted((root[i], root[j]))
+        root = [a if r == b else r for r in root]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.keep_id for r in similar.similar_groups(rows).collect()}
+    found = sum(got[i] == got[j] for i, j in pairs)
+    assert len(pairs) > 60 and found >= similar.RECALL * len(pairs)
+    # nothing below the similarity is linked: every group lies within one of the true ones
+    assert all(root[i] == root[got[i]] for i in got)
+
+
+def test_near_dedup_stage_of_awkward_rows(spark, docs, empty):
+    kept = similar.near_dedup_stage(docs)
+    assert kept.columns == docs.columns and similar.near_dedup_stage(empty).count() == 0
+    rows = kept.collect()
+    # one without words, one of the four words with their repeated rows, each other text
+    assert sum(not (r.text or "").split() for r in rows) == 1 and sum((r.text or "").startswith("one") for r in rows) == 1
+    texts = {" ".join((r.text or "").split()) for r in docs.collect()}
+    assert {" ".join((r.text or "").split()) for r in rows} == texts
+
+
+def test_large_buckets_stay_connected(spark, monkeypatch):
+    monkeypatch.setattr(similar, "HOT_BUCKET", 12)
+    monkeypatch.setattr(similar, "BLOCK", 8)
+    monkeypatch.setattr(similar, "OVERLAP", 2)
+    monkeypatch.setattr(similar, "SMALL_BUCKET", 4)
+    rng = np.random.default_rng(1)
+    base = ["".join(w) for w in rng.choice(list("abcdefghij"), (200, 5))]
+    texts = [" ".join(w if k != i else "changed" for k, w in enumerate(base)) for i in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.keep_id for r in similar.similar_groups(rows).collect()} == {0}
+
+
+def test_thresholds_of_the_stage_find_pairs():
+    rate = similar.difference_rate(0.8)
+    for n in (10, 10**5, 10**8, 10**11):
+        for m in similar.PARTITIONS:
+            widths = [64 // m] * (m * similar.WORDS)
+            cost, thresholds = similar.allocate(n, widths, [2.0**-w for w in widths], rate, similar.RECALL)
+            if thresholds:
+                miss = np.prod([1 - similar.meets(w, t, rate) for w, t in zip(widths, thresholds) if t >= 0])
+                assert miss <= 1 - similar.RECALL and cost < math.inf
+
+
 # 6 language ID
 
 
@@ -311,6 +477,41 @@ def test_language_id(spark, docs, empty, corpus):
     assert language_id.learn_profiles(empty) == {} and language_id.identify(docs, {}).where("lang_pred = 'und'").count() == docs.count()
 
 
+def test_profiles_and_distances_by_hand(spark, corpus):
+    def plain(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        out = Counter()
+        for w in words:
+            for n in (1, 2, 3):
+                padded = w if n == 1 else f" {w} "
+                out.update(padded[i : i + n] for i in range(len(padded) - n + 1))
+        return out
+
+    def place(gram):  # the order among n-grams of one count: that of their integers
+        key = sum((0 if c == " " else ord(c)) << 21 * k for k, c in enumerate(gram)) + {1: 0, 2: 1 << 62, 3: 1 << 63}[len(gram)]
+        return key - (1 << 64) if key >> 63 else key
+
+    ranked = lambda counts, size: sorted(counts, key=lambda g: (-counts[g], place(g)))[:size]
+    some = [r for r in corpus.values() if r.text and r.lang][:60]
+    totals = {}
+    for r in some:
+        totals.setdefault(r.lang, Counter()).update(plain(r.text))
+    profiles = {lang: ranked(c, language_id.PROFILE_SIZE) for lang, c in totals.items()}
+    got = language_id.learn_profiles(spark.createDataFrame([(r.lang, r.text) for r in some], "lang string, text string"))
+    assert {lang: set(p) for lang, p in got.items()} == {lang: {place(g) for g in p} for lang, p in profiles.items()}
+    classifier = language_id.Classifier(got)
+    for r in list(corpus.values())[60:90]:
+        own = ranked(plain(r.text or ""), language_id.DOCUMENT_SIZE)
+        if not own:
+            continue
+        at = {lang: {g: k for k, g in enumerate(p)} for lang, p in profiles.items()}
+        most = max(map(len, profiles.values()))
+        distance = {lang: sum(min(abs(k - p[g]), most) if g in p else most for k, g in enumerate(own)) for lang, p in at.items()}
+        best = min(sorted(distance), key=distance.get)
+        lang, score = classifier.predict(r.text)
+        assert lang == best and math.isclose(score, 1 - distance[best] / (len(own) * most))
+
+
 def test_gram_paths_agree(monkeypatch, corpus):
     for r in list(corpus.values())[:20]:
         dense = language_id.grams(r.text)
@@ -335,12 +536,57 @@ def test_lattice_adds_up_all_segmentations():
 
     some = ["the", "thing.", "é", "日x", "a"]
     assert np.allclose(model.word_scores(some), [math.log(brute(lattice.MARK + w)) for w in some])
-    assert np.isclose(model._long("thing."), model.word_scores(["thing."])[0]) and np.isclose(np.exp(model.log_p).sum(), 1)
+    assert np.isclose(model._long("thing.")[-1], model.word_scores(["thing."])[0]) and np.isclose(np.exp(model.log_p).sum(), 1)
     counts = model.expected_counts(["the"], np.array([2]))
     assert counts[vocab.place["▁the"]] > 0 and counts.sum() <= 2 * 8
     assert np.isfinite(model.word_scores(["x" * 3000])[0])
 
 
+def test_expectation_rounds_and_document_score_by_hand(spark):
+    path = public_tokenizers.path(lm_scoring.VOCABULARY)
+    vocab = lattice.vocabulary(path)
+    texts = {0: "the Thing the", 1: "é ox", 2: "", 3: None}
+
+    def paths(text, log_p):
+        """(probability, pieces) of every way to write a text."""
+        if not text:
+            return [(1.0, [])]
+        ways = [(math.exp(sum(log_p[k] for k in vocab.spelling(ord(text[0])))), vocab.spelling(ord(text[0])), text[1:])]
+        ways += [(math.exp(log_p[vocab.place[text[:k]]]), [vocab.place[text[:k]]], text[k:]) for k in range(1, len(text) + 1) if text[:k] in vocab.place]
+        return [(p * q, own + more) for p, own, rest in ways for q, more in paths(rest, log_p)]
+
+    log_p = vocab.first_guess()
+    learned = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2}
+    for _ in range(lm_scoring.EM_ROUNDS):
+        expected = np.zeros(vocab.size)
+        for t in learned.values():
+            for word in (t or "").lower().split():
+                ways = paths(lattice.MARK + word, log_p)
+                whole = sum(p for p, _ in ways)
+                for p, pieces in ways:
+                    np.add.at(expected, pieces, p / whole)
+        expected[vocab.end] += len(learned)
+        log_p = lm_scoring.updated(vocab, expected)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in lm_scoring.score_texts(rows, path).collect():
+        want = log_p[vocab.end] + sum(math.log(sum(p for p, _ in paths(lattice.MARK + w, log_p))) for w in (texts[r.id] or "").lower().split())
+        assert math.isclose(r.score, want / math.log(10), rel_tol=1e-9)
+
+
+def test_existing_scores_stay_in_the_weights_and_long_words_count_alike(monkeypatch):
+    vocab = lattice.vocabulary(public_tokenizers.path(lm_scoring.VOCABULARY))
+    none = np.zeros(vocab.size)
+    assert np.allclose(np.exp(lm_scoring.updated(vocab, none)).sum(), 1)
+    at = lm_scoring.updated(vocab, none)[: vocab.bytes_at]
+    assert (np.diff(at) <= 1e-9).all()  # unseen pieces rank as their scores do
+    drawn = np.append(1e9 * np.exp(vocab.scores / 5000.0), np.zeros(257))
+    assert math.isclose(vocab.fitted_heat(drawn), 5000, rel_tol=0.01)
+    model, words = lattice.Lattice(vocab, vocab.first_guess()), ["stationing" * 3, "日本語x" * 9]
+    short, scores = model.expected_counts(words, np.array([2.0, 3.0])), model.word_scores(words)
+    monkeypatch.setattr(lattice, "LONG", 5)
+    assert np.allclose(model.expected_counts(words, np.array([2.0, 3.0])), short) and np.allclose(model.word_scores(words), scores)
+
+
 def test_base_scores(spark, docs, empty, corpus, monkeypatch):
     monkeypatch.setattr(lm_scoring, "HEAD_WORDS", 300)
     monkeypatch.setattr(lm_scoring, "EM_ROUNDS", 1)
@@ -397,6 +643,26 @@ def test_every_offset_with_votes_is_verified(spark):
     assert (link.class_id, link.offset) == (1, 70) and link.bit_error < 0.25
 
 
+def test_recall_against_all_pairs(spark):
+    rng, sounds = np.random.default_rng(6), []
+    for _ in range(14):
+        x = audio.decode_wav(audio.render(rng.normal(0, 0.125, 48)))
+        sounds.append(x)
+        for noise in (0.005, 0.02):
+            cut = int(rng.integers(0, 12)) * audio.HOP
+            sounds.append(np.clip(x[cut:] * rng.uniform(0.5, 1) + rng.normal(0, noise, len(x) - cut), -1, 1))
+    prints = [audio.fingerprint(x) for x in sounds]
+    true = set()
+    for i in range(0, len(prints), 3):
+        for j in range(len(prints)):
+            a, b = prints[i].view(np.int32), prints[j].view(np.int32)
+            if i != j and any((f := audio.bit_error(a, b, k))[0] >= audio.MIN_OVERLAP and f[1] <= audio.MAX_ERROR for k in range(-len(a), len(b))):
+                true.add((i, j))
+    rows = spark.createDataFrame([(i, p.view(np.int32).tolist()) for i, p in enumerate(prints)], "id long, print array<int>")
+    found = {(r.id, link.class_id) for r in audio.align(rows, "id % 3 = 0").collect() for link in r.links or ()}
+    assert found <= true and len(true) >= 28 and len(found) >= 0.9 * len(true)
+
+
 # 9 exact dedup
 
 
@@ -409,6 +675,22 @@ def test_exact_dedup_of_awkward_rows(spark, docs, empty):
     assert kept.columns == docs.columns and kept.where("text like 'one%'").count() == 1 and kept.count() == sum(r.kept for r in rows)
 
 
+def test_stages_take_any_column_names(spark):
+    names = ["evidar_digest", "__id", "__text_digest", "__size", "__copies", "__key", "mix_size", "evidar_copies", "gone_id", "lang", "source"]
+    rows = spark.createDataFrame([(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(["a b", "a  b", "c d e", "f", "f"])], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for stage in (exact_dedup.dedup_stage, similar.near_dedup_stage, mixing.mixing_stage, language_id.language_stage):
+        out = stage(rows)
+        assert out.columns == rows.columns and all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)
+    assert {r.doc_id for r in exact_dedup.dedup_stage(rows).collect()} == {0, 2, 3}
+
+
+def test_a_run_goes_on_with_its_checkpoint(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+    path = common.fresh_path(spark, "dedup")
+    first = sorted(map(tuple, exact_dedup.exact_dedup(rows, checkpoint=path).drop("uid").collect()))
+    assert first == sorted(map(tuple, exact_dedup.exact_dedup(rows, checkpoint=path).drop("uid").collect())) and [r[1] for r in first] == [1, 1, 3]
+
+
 def test_clashing_digests_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup.F, "sha2", lambda c, n: F.lpad(F.hex(F.length(c) if n == 256 else F.crc32(F.col(c) if isinstance(c, str) else c)), 64, "0"), raising=False)
     rows = exact_dedup.exact_dedup(spark.createDataFrame([(1, "ab"), (2, "cd"), (3, "ab"), (4, "x")], "doc_id long, text string")).collect()
@@ -441,7 +723,68 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(empty).count() == 0 and set(mixing.mixing_stage(docs).columns) == set(docs.columns)
 
 
-def test_targets():
-    got = mixing.targets({"a": 10, "b": 100, None: 100, "c": 0})
-    assert list(got) and got["a"] == 30 and got["c"] == 0 and math.isclose(sum(got.values()), 210)
+def test_dual_against_numpy(spark):
+    rng = np.random.default_rng(9)
+    words = rng.integers(0, 5000, (13, len(mixing.BANDS))).astype(float)
+    words[3], words[4, 1:], words[5, 0] = 0, 0, 90_000
+    order = [f"s{i:02d}" for i in range(12)] + [None]
+    goal = plain_targets({s: int(n) for s, n in zip(order, words.sum(1))})
+    rows = spark.createDataFrame([(s, int(w.sum()), *map(int, w)) for s, w in zip(order, words)], "source string, size long, " + ", ".join(f"w{b} long" for b in range(len(mixing.BANDS))))
+    rows = mixing.source_targets(rows.repartition(3))
+    got = {r.source: r.target for r in rows.collect()}
+    assert all(math.isclose(got[s], goal[s], abs_tol=1e-6) for s in order)
+    duals = mixing.band_duals(rows)
+    target = np.array([goal[s] for s in order])
+    rates = mixing.source_rates(words, target, duals, 3.0)
+    assert np.allclose((rates * words).sum(1), target) and rates.max() <= 3 and (rates >= 0).all()
+    # the band misses its share by just what the dual pays for: the slope of the whole problem is zero
+    total = target.sum()
+    assert np.allclose((rates * words).sum(0) - words.sum(0) / words.sum() * total, -mixing.RIDGE * total * duals, atol=1e-6 * total)
+    # no other rates with these targets cost less
+    def cost(r):
+        safe = np.maximum(r, 1e-12)
+        missed = (r * words).sum(0) - words.sum(0) / words.sum() * total
+        return (words * (r * np.log(safe) - r + 1)).sum() + (missed**2).sum() / (2 * mixing.RIDGE * total)
+
+    best = cost(rates)
+    for _ in range(200):
+        moved = np.clip(rates * np.exp(rng.normal(0, 0.03, rates.shape)), 0, 3)
+        for _ in range(60):
+            sums = (moved * words).sum(1)
+            moved = np.minimum(3, moved * np.divide(target, sums, out=np.ones_like(sums), where=sums > 0)[:, None])
+        assert cost(moved) >= best - 1e-6 * total
+
+
+def test_copies_follow_the_rates(spark):
+    rng = np.random.default_rng(3)
+    texts = [("w " * int(n)).strip() for n in np.exp(rng.normal(4, 1.4, 900))] + ["w " * 60_000]
+    rows = spark.createDataFrame([(i, t, f"s{i % 4}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = mixing.mix(rows).toPandas().merge(rows.select("doc_id", "source").toPandas(), left_on="id", right_on="doc_id")
+    assert ((got.copies == np.floor(got.rate)) | (got.copies == np.floor(got.rate) + 1)).all() and got.copies.max() <= 3
+    by = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), words=("size", "sum"))
+    assert (abs(by.taken - by.target) <= 0.01 * by.target).all()
+    assert got[got["size"] < 2048].rate.groupby(got.source).nunique().gt(1).all()  # rates differ within a source, by length
+
+
+def plain_targets(sizes, weights=(5.0, 2.0, 1.0), most=3):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    left, free, out = float(sum(sizes.values())), list(order), {}
+    while free:
+        share = left / sum(weight[s] for s in free)
+        above = [s for s in free if share * weight[s] > most * sizes[s]]
+        if not above:
+            return out | {s: share * weight[s] for s in free}
+        for s in above:
+            out[s] = float(most * sizes[s])
+            left -= out[s]
+            free.remove(s)
+    return out
+
+
+def test_targets(spark):
+    sizes = {"a": 10, "b": 100, None: 100, "c": 0}
+    got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
+    assert got["a"] == 30 and got["c"] == 0 and math.isclose(sum(got.values()), 210)
     assert math.isclose(got["b"], (210 - 30) * 2 / 7) and math.isclose(got[None], (210 - 30) * 5 / 7)
+    assert all(math.isclose(got[s], t, abs_tol=1e-9) for s, t in plain_targets(sizes).items())

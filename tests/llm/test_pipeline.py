@@ -7,9 +7,8 @@ import pytest
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from evidar.llm import language_id, mixing, near_dedup, simhash  # noqa: E402
+from evidar.llm import language_id, mixing, similar  # noqa: E402
 from evidar.llm.common import written  # noqa: E402
-from tests.llm.test_operators import components_of  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +31,15 @@ def test_stages(stages):
         kept.setdefault(" ".join(r.text.split()), r.doc_id)
     assert {r.doc_id for r in exact} == set(kept.values()) and 9004 not in kept.values()
     rows = sorted(exact, key=lambda r: r.doc_id)
-    roots = components_of([simhash.fingerprint(r.text) for r in rows])
-    assert {r.doc_id for r in near} == {rows[k].doc_id for k in set(roots)}
+    root = {r.doc_id: r.doc_id for r in rows}
+    shingles = {r.doc_id: set(similar.distinct_shingles(r.text).tolist()) for r in rows}
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            x, y = shingles[a.doc_id], shingles[b.doc_id]
+            if len(x & y) >= 0.8 * len(x | y):
+                low, high = sorted((root[a.doc_id], root[b.doc_id]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    assert {r.doc_id for r in near} == set(root.values()) and 9003 not in root.values()
     copies = {r.id: r.copies for r in mixing.mix(stages[3]).collect()}
     assert sorted(r.doc_id for r in mixed) == sorted(i for i, n in copies.items() for _ in range(n))
     pieces = {}
@@ -61,6 +67,24 @@ def test_run(spark):
     assert rows.agg(F.countDistinct("doc_id")).first()[0] > 100
 
 
-def test_the_stages_call_their_operators():
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "SimHash near-dedup", "mixing sources", "packing"]
-    assert corpus_pipeline.ORACLE_SQL is None and language_id.UNDETERMINED == "und" and near_dedup.TAU == 3
+def test_missing_languages_are_told(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(120)
+    from pyspark.sql import functions as F
+
+    hidden = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    told = {r.doc_id: r.lang for r in language_id.language_stage(hidden).collect()}
+    true = {r.doc_id: r.lang for r in docs.collect()}
+    asked = [i for i in told if i % 5 == 0]
+    assert sum(told[i] == true[i] for i in asked) >= 0.9 * len(asked)
+
+
+def test_stages_take_an_empty_table_repeated_rows_and_more_columns(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30)
+    docs = docs.unionByName(docs.limit(5)).withColumn("__size", F.lit("x")).withColumn("id", F.lit(1))
+    for given in (docs, docs.limit(0)):
+        out = given
+        for _, stage in corpus_pipeline.STAGES:
+            out = written(stage(spark, out, ""), "stage")
+        assert (out.count() > 0) == (given is docs)
