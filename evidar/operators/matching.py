@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -83,6 +83,20 @@ def match(rows: DataFrame, text: str, keys: list[str], policy: str = LONGEST_FIR
     return rows.withColumn(name, run(F.col(text)))
 
 
+def count_matches(rows: DataFrame, text: str, keys: list[str], policy: str = LONGEST_FIRST, normaliser: str = "lower_alnum", name: str = "counts") -> DataFrame:
+    """rows with how often each key stands in a text column: as match(), but only the counts leave the task."""
+    normal = NORMALISERS[normaliser]
+    given = rows.sparkSession.sparkContext.broadcast(sorted({normal(k) for k in keys} - {""}))
+
+    @F.pandas_udf("map<string,long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(given.value, policy, lambda text, start: False)
+        for batch in batches:
+            yield batch.map(lambda t: dict(Counter(m[2] for m in matcher.find(normal(t)))) if t else {})
+
+    return rows.withColumn(name, run(F.col(text)))
+
+
 def unambiguous(aliases: DataFrame, alias: str, owner: str) -> DataFrame:
     """alias and owner of the aliases that only one owner has."""
     return aliases.groupBy(alias).agg(F.countDistinct(owner).alias("n"), F.min(owner).alias(owner)).where("n = 1").drop("n")

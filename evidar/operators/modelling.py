@@ -188,36 +188,60 @@ def squared_error(moments: np.ndarray, model: dict) -> float:
     return float(v @ moments @ v)
 
 
-def bootstrap_ci(rows: DataFrame, keys: list[str], value: str, seed: int = CI_SEED, draws: int = CI_DRAWS) -> DataFrame:
-    """Mean and 2.5/97.5 % bounds of resampled means for each key. A resample of n rows is drawn as the
-    counts of the distinct values, so a task holds a group's value counts, not its rows."""
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-
-    def draw(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("v")
-        v, n = group["v"].to_numpy(), group["n"].to_numpy()
-        rng, total = np.random.default_rng(seed), int(n.sum())
-        means = rng.multinomial(total, n / total, size=draws) @ v / total
-        low, high = np.percentile(means, [2.5, 97.5])
-        return pd.DataFrame([[*group.iloc[0][keys], total, float(v @ n / total), low, high]], columns=[*keys, "n", "mean", "low", "high"])
+def _uniform(rows: np.ndarray, draws: int, seed: int) -> np.ndarray:
+    """A number in (0, 1) for each row (named by a number) and draw, from a hash of both."""
+    z = rows.astype(np.uint64)[:, None] + (np.arange(draws, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))).astype(float) + 0.5) / 2.0**64
+
+
+def _weights(rows: np.ndarray, times: np.ndarray, draws: int, seed: int) -> np.ndarray:
+    """How often a value that occurs so many times is in each resample: Poisson of that mean, by a normal from 64 on."""
+    u, out = _uniform(rows, draws, seed), np.zeros((len(rows), draws))
+    for n in np.unique(times):
+        own = times == n
+        if n < 64:
+            chances = np.exp(-n + np.arange(200) * math.log(n) - np.array([math.lgamma(k + 1) for k in range(200)]))
+            out[own] = np.searchsorted(np.cumsum(chances), u[own])
+        else:
+            angle = 2 * math.pi * _uniform(rows[own], draws, seed + draws)
+            out[own] = np.maximum(0, np.round(n + math.sqrt(n) * np.sqrt(-2 * np.log(u[own])) * np.cos(angle)))
+    return out
+
+
+def resampled_means(rows: DataFrame, keys: list[str], value: str, seed: int, draws: int) -> DataFrame:
+    """keys, n, mean and means (of every resample, sorted) of each key. Every value has its own Poisson weight in each
+    resample, the same however rows are dealt, so tasks add up two sums a resample and hold no group."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("times"))
+    given = counted.withColumn("row", F.xxhash64(*keys, "v"))
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 5_000):
+                for key, part in batch.iloc[at : at + 5_000].groupby(keys, dropna=False, sort=False):
+                    times, v = part["times"].to_numpy(), part["v"].to_numpy()
+                    w = _weights(part["row"].to_numpy(np.int64), times, draws, seed)
+                    out = pd.DataFrame({"draw": np.arange(-1, draws), "w": np.append(times.sum(), w.sum(0)), "wv": np.append(times @ v, v @ w)})
+                    yield out.assign(**dict(zip(keys, key)))[[*keys, "draw", "w", "wv"]]
 
     kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-    return counted.groupBy(*keys).applyInPandas(draw, f"{kinds}, n long, mean double, low double, high double")
+    sums = given.mapInPandas(draw, f"{kinds}, draw int, w double, wv double").groupBy(*keys, "draw").agg(F.sum("w").alias("w"), F.sum("wv").alias("wv"))
+    whole = F.col("draw") == -1
+    return sums.groupBy(*keys).agg(F.max(F.when(whole, F.col("w"))).cast("long").alias("n"), F.max(F.when(whole, F.col("wv") / F.col("w"))).alias("mean"),
+                                   F.array_sort(F.collect_list(F.when(~whole & (F.col("w") > 0), F.col("wv") / F.col("w")))).alias("means"))
 
 
-def sign_stability(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Share of resampled means that have the sign of the mean."""
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+def bootstrap_ci(rows: DataFrame, keys: list[str], value: str, seed: int = CI_SEED, draws: int = CI_DRAWS) -> DataFrame:
+    """keys, n, mean and 2.5/97.5 % bounds of resampled means for each key."""
+    at = lambda share: F.get("means", F.floor(F.lit(share) * (F.size("means") - 1)).cast("int"))
+    return resampled_means(rows, keys, value, seed, draws).select(*keys, "n", "mean", at(0.025).alias("low"), at(0.975).alias("high"))
 
-    def draw(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("v")
-        v, n = group["v"].to_numpy(), group["n"].to_numpy()
-        total = int(n.sum())
-        means = np.random.default_rng(STABILITY_SEED).multinomial(total, n / total, size=STABILITY_DRAWS) @ v / total
-        return pd.DataFrame([[*group.iloc[0][keys], total, float((np.sign(means) == np.sign(v @ n)).mean())]], columns=[*keys, "n", "stability"])
 
-    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-    return counted.groupBy(*keys).applyInPandas(draw, f"{kinds}, n long, stability double")
+def sign_stability(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, n and the share of resampled means that have the sign of the mean."""
+    same = F.size(F.filter("means", lambda m: F.signum(m) == F.signum("mean"))) / F.size("means")
+    return resampled_means(rows, keys, value, STABILITY_SEED, STABILITY_DRAWS).select(*keys, "n", same.alias("stability"))
 
 
 def top_drivers(contributions: DataFrame, row_id: str, k: int = 10) -> DataFrame:

@@ -270,8 +270,8 @@ DICTIONARY = ["the", "thethe", "and", "of", "inthe", "to", "der", "les", "que"]
 
 
 def token_matches(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
-    found = matching.match(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", DICTIONARY, policy, "lower")
-    return found.select("doc_id", F.explode("matches").alias("m")).groupBy("doc_id", F.col("m.alias").alias("alias")).agg(F.count(F.lit(1)).alias("matches"))
+    found = matching.count_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", DICTIONARY, policy, "lower")
+    return found.select("doc_id", F.explode("counts").alias("alias", "matches"))
 
 
 @query("alias_match_longest_first")
