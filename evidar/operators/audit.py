@@ -72,7 +72,9 @@ _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null":
 
 
 def schema_errors(value: Any, schema: dict[str, Any] | bool, root: dict[str, Any] | None = None, path: str = "$") -> list[str]:
-    """Errors (path and keyword) of a JSON value under a JSON Schema; unknown keywords say nothing."""
+    """Errors (path and keyword) of a JSON value under a JSON Schema; unknown keywords say nothing. As the standard has it
+    since 2019, 1.0 is an integer and keywords beside a $ref count too. A $ref is looked up in the schema itself only, and
+    of formats date and date-time are checked."""
     import re
     from datetime import date, datetime
 
