@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from evidar.llm.audio import op8_chroma_fingerprints
 from evidar.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from evidar.llm.fill_middle import OP11_SQL, op11_fill_in_middle
+from evidar.llm.filter_audit import OP12_SQL, op12_filter_audit
 from evidar.llm.language_id import op6_language_id
 from evidar.llm.lm_scoring import op7_lm_scoring
 from evidar.llm.mixing import op10_source_mixing
@@ -24,9 +26,13 @@ QUERIES = {
     "op8_chroma_fingerprints": op8_chroma_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_source_mixing": op10_source_mixing,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLE_SQL = {
     "op3_warc_salvage": OP3_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
