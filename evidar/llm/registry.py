@@ -11,6 +11,7 @@ from evidar.llm.lm_scoring import op7_lm_scoring
 from evidar.llm.mixing import op10_source_mixing
 from evidar.llm.near_dedup import op5_simhash_near_dedup
 from evidar.llm.packing import op4_packing
+from evidar.llm.pieces import op13_sentencepiece
 from evidar.llm.substring_dedup import op2_substring_dedup
 from evidar.llm.token_counts import op1_token_counts
 from evidar.llm.warc import OP3_SQL, op3_warc_salvage
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_source_mixing": op10_source_mixing,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_filter_audit": op12_filter_audit,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE_SQL = {
