@@ -6,7 +6,8 @@ entropy over tokens. The convex dual has one variable for each source and one fo
 exponential of its source's and its band's. Newton steps run on the bands' duals, each with one aggregate
 over the sources, whose own duals follow in closed form. The rates are then rounded into whole copies: a
 document gets the whole part, and one more if its ticket is below a threshold at which the tickets of its
-source and size make up the rest of the rates' words. What one size leaves over goes on to the next smaller.
+source and size make up the rest of the rates' words. What one size leaves over goes on to the next smaller, and
+what the smallest leave, having the greatest number of copies, goes back to those with room.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ BANDS = (0, 128, 512, 2048)
 RIDGE = 0.02
 #: Greatest miss of the dual's slope, as a share of all words, at which Newton's steps end, and their greatest number.
 TOLERANCE, STEPS = 1e-9, 100
-#: Bits of a ticket, found in two turns.
-_HIGH, _LOW = 8, 16
-_TICKET_BITS = _HIGH + _LOW
+#: Bits of a ticket, and those of them within a range; sizes of a source of so many documents at most are settled document by document.
+_TICKET_BITS, _LOW = 24, 12
+EXACT = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -80,7 +81,7 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, mos
     full = F.col("size") * float(most)
     level, before = 0.0, -1
     # a source is full where its share would be above; each turn only more are
-    for _ in range(10_000):
+    while True:
         held = full < F.col("weight") * F.lit(level)
         row = rows.agg(F.count_if(held).alias("n"), F.sum(F.when(held, full).otherwise(0.0)).alias("full"), F.sum(F.when(held, 0.0).otherwise(F.col("weight"))).alias("weight")).first()
         if row.n == before or not row.weight:
@@ -166,62 +167,90 @@ def with_rates(sources: DataFrame, duals: np.ndarray, most: float = MAX_COPIES)
     return given.mapInPandas(run, "source_key string, source_size long, target double, rates array<double>")
 
 
-def thresholds(cells: DataFrame, rows: DataFrame) -> DataFrame:
-    """source_key, class, floor, threshold. cells: source_key, class, rate, words; rows: source_key, class, ticket, size.
-    A document gets floor copies, one more if its ticket is below the threshold. From the largest class on,
-    whole ranges of tickets are taken while their words fit what is owed; what is left goes to the next class."""
-    high = rows.groupBy("source_key", "class", F.shiftright("ticket", _LOW).alias("digit")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    owed = cells.select("source_key", "class", F.floor("rate").cast("long").alias("floor"), ((F.col("rate") - F.floor("rate")) * F.col("words")).alias("owed"), "rate")
-    first = written(high.join(owed, ["source_key", "class"]).select("source_key", "class", "digit", "size", "n", "floor", "owed", "rate").groupBy("source_key").applyInPandas(
-        _take, "source_key string, class int, floor long, owed double, digit long, rate double"), "mix-high")
-    at = first.select("source_key", "class", "floor", "owed", "rate", F.col("digit").alias("prefix"))
-    low = rows.join(at.select("source_key", "class", "prefix"), ["source_key", "class"]).where(F.shiftright("ticket", _LOW) == F.col("prefix"))
-    low = low.groupBy("source_key", "class", F.col("ticket").bitwiseAND((1 << _LOW) - 1).alias("digit")).agg(F.sum("size").alias("size"))
-    # what is owed here was carried on from class to class, so it belongs to the last one of each source
-    second = at.join(low, ["source_key", "class"], "left").select("source_key", "class", F.coalesce("digit", F.lit(0)).alias("digit"), F.coalesce("size", F.lit(0)).alias("size"), "floor", "owed", "rate")
-    found = second.groupBy("source_key").applyInPandas(_take_rest, "source_key string, class int, floor long, owed double, digit long, rate double")
-    return at.select("source_key", "class", "floor", "prefix").join(found.select("source_key", "class", "digit"), ["source_key", "class"]).select(
-        "source_key", "class", "floor", (F.shiftleft("prefix", _LOW) + F.col("digit")).alias("threshold"))
-
-
-def _classes(group: pd.DataFrame):
-    for size_class in sorted(group["class"].unique(), reverse=True):
-        part = group[group["class"] == size_class].sort_values("digit")
-        yield size_class, part
-
-
-def _take(group: pd.DataFrame) -> pd.DataFrame:
-    """The range of high digits at which each class stops; what is owed there and not taken goes to the next class.
-    A document that has a range to itself is taken too if that comes nearer; the next class then owes less."""
-    out, carried = [], 0.0
-    for size_class, part in _classes(group):
-        owed = carried + float(part["owed"].iloc[0])
-        sums = part["size"].to_numpy().cumsum()
+def thresholds(cells: DataFrame, rows: DataFrame, most: int = MAX_COPIES) -> DataFrame:
+    """source_key, class, floor, threshold. cells: source_key, class, rate, words, n (documents); rows: source_key, class,
+    ticket, size. A document gets floor copies, one more if its ticket is below the threshold; floor is below most
+    wherever a threshold is above 0. Classes of at most EXACT documents are settled document by document, larger ones by
+    ranges of tickets first and by tickets within the range where they end then."""
+    given = rows.join(cells.select("source_key", "class", "n"), ["source_key", "class"])
+    entry = F.when(F.col("n") <= EXACT, F.col("ticket")).otherwise(F.shiftleft(F.shiftright("ticket", _LOW), _LOW))
+    high = given.groupBy("source_key", "class", entry.alias("at")).agg(F.sum("size").alias("size"))
+    high = high.join(cells, ["source_key", "class"]).select("source_key", "class", "at", "size", "rate", "words", "n")
+    schema = "source_key string, class int, floor long, threshold long, owed double"
+    first = written(high.groupBy("source_key").applyInPandas(lambda g: settled(g, most), schema), "mix-high")
+    ends = first.where("owed >= 0").select("source_key", "class", "threshold", "owed")
+    low = rows.join(ends, ["source_key", "class"]).where(F.shiftright("ticket", _LOW) == F.shiftright("threshold", _LOW))
+    low = low.groupBy("source_key", "class", "threshold", "owed", "ticket").agg(F.sum("size").alias("size"))
+    found = low.groupBy("source_key").applyInPandas(settled_within, "source_key string, class int, within long")
+    return first.join(found, ["source_key", "class"], "left").select("source_key", "class", "floor", F.coalesce("within", "threshold").alias("threshold"))
+
+
+class _Class:
+    """The documents of a source and class of sizes: entries in order of tickets, each a document or a range of them."""
+
+    def __init__(self, part: pd.DataFrame, most: int):
+        part = part.sort_values("at")
+        self.at, self.sums = part["at"].to_numpy(), part["size"].to_numpy(float).cumsum()
+        self.words, self.most, self.exact = float(part["words"].iloc[0]), most, part["n"].iloc[0] <= EXACT
+        self.floor, self.fit, self.got, self.rest = 0, 0, 0.0, 0.0
+        self.rate = float(part["rate"].iloc[0])
+        self.taken = 0.0
+
+    def settle(self, wanted: float) -> float:
+        """Takes what comes nearest to wanted words, and returns what is left of them (below 0: what is over)."""
+        if not self.words:  # texts without words
+            self.floor = min(self.most, round(self.rate))
+            return wanted
+        self.floor = int(min(self.most, max(0.0, wanted) // self.words))
+        rest = max(0.0, wanted) - self.floor * self.words
+        self.fit, self.got, self.rest = 0, 0.0, 0.0
+        if self.floor < self.most:
+            self.fit = int(np.searchsorted(self.sums, rest, side="right"))
+            self.got = float(self.sums[self.fit - 1]) if self.fit else 0.0
+            if self.fit < len(self.sums):
+                if not self.exact:
+                    self.rest = rest - self.got  # found within the range
+                elif 2 * rest > self.got + float(self.sums[self.fit]):
+                    self.got, self.fit = float(self.sums[self.fit]), self.fit + 1
+        self.taken = self.floor * self.words + self.got + self.rest
+        return wanted - self.taken
+
+    def end(self) -> int:
+        if not self.words or self.floor == self.most:
+            return 0
+        return int(self.at[self.fit]) if self.fit < len(self.at) else 1 << _TICKET_BITS
+
+
+def settled(group: pd.DataFrame, most: int) -> pd.DataFrame:
+    """floor and threshold of each class of a source, and what is owed within the range that begins at the threshold (-1: that is
+    no range). From the largest class on each takes its rate's words; what is left or over goes to the next, and
+    what is left of all goes to those with room, from the smallest on."""
+    classes = {k: _Class(part, most) for k, part in group.groupby("class")}
+    left = 0.0
+    for k in sorted(classes, reverse=True):
+        left = classes[k].settle(classes[k].rate * classes[k].words + left)
+    for k in sorted(classes):
+        left = classes[k].settle(classes[k].taken + left)
+    key = group["source_key"].iloc[0]
+    out = [(key, k, c.floor, c.end(), -1.0 if c.exact or not c.words or c.floor == most or c.fit == len(c.at) else c.rest) for k, c in classes.items()]
+    return pd.DataFrame(out, columns=["source_key", "class", "floor", "threshold", "owed"])
+
+
+def settled_within(group: pd.DataFrame) -> pd.DataFrame:
+    """The threshold of each class within the range where it ends; what is left or over goes to the next smaller class."""
+    out, left = [], 0.0
+    for k, part in sorted(group.groupby("class"), reverse=True):
+        part = part.sort_values("ticket")
+        sums = part["size"].to_numpy(float).cumsum()
+        owed = float(part["owed"].iloc[0]) + left
         fit = int(np.searchsorted(sums, owed, side="right"))
-        if fit < len(part) and part["n"].iloc[fit] == 1 and 2 * (owed - float(sums[fit - 1] if fit else 0)) > float(part["size"].iloc[fit]):
+        if fit < len(sums) and 2 * owed > (sums[fit - 1] if fit else 0.0) + sums[fit]:
             fit += 1
-        carried = owed - float(sums[fit - 1] if fit else 0)
-        digit = int(part["digit"].iloc[fit]) if fit < len(part) else 1 << _HIGH
-        out.append((part["source_key"].iloc[0], size_class, part["floor"].iloc[0], 0.0, digit, part["rate"].iloc[0]))
-    if out:
-        out[0] = (*out[0][:3], carried, *out[0][4:])
-    return pd.DataFrame(out, columns=["source_key", "class", "floor", "owed", "digit", "rate"])
-
-
-def _take_rest(group: pd.DataFrame) -> pd.DataFrame:
-    """As _take, by the low digits; the last document that would go over is taken if that comes nearer."""
-    out, carried = [], float(group["owed"].max())
-    parts = list(_classes(group))
-    for size_class, part in parts:
-        sums = part["size"].to_numpy().cumsum()
-        fit = int(np.searchsorted(sums, carried, side="right"))
-        got = float(sums[fit - 1] if fit else 0)
-        if size_class == parts[-1][0] and fit < len(part) and 2 * (carried - got) > float(part["size"].iloc[fit]):
-            got, fit = float(sums[fit]), fit + 1
-        carried -= got
-        digit = int(part["digit"].iloc[fit]) if fit < len(part) else 1 << _LOW
-        out.append((part["source_key"].iloc[0], size_class, part["floor"].iloc[0], 0.0, digit, part["rate"].iloc[0]))
-    return pd.DataFrame(out, columns=["source_key", "class", "floor", "owed", "digit", "rate"])
+        left = owed - (float(sums[fit - 1]) if fit else 0.0)
+        # past the range's last ticket none is below the next range's first
+        end = int(part["ticket"].iloc[fit]) if fit < len(sums) else (int(part["threshold"].iloc[0] >> _LOW) + 1) << _LOW
+        out.append((part["source_key"].iloc[0], k, end))
+    return pd.DataFrame(out, columns=["source_key", "class", "within"])
 
 
 class Mix:
@@ -234,16 +263,16 @@ class Mix:
         rows = docs.select(docs[source_col].alias("source"), _key(docs[source_col]).alias("source_key"), size.alias("size"), ticket(docs[id_col], docs[text_col]).alias("ticket"))
         rows = written(rows, "mix-rows").withColumn("class", class_of(F.col("size")))
         n = len(BANDS)
-        cells = written(rows.groupBy("source", "source_key", "class", band_of(F.col("size")).alias("band")).agg(F.sum("size").alias("words")), "mix-cells")
+        cells = written(rows.groupBy("source", "source_key", "class", band_of(F.col("size")).alias("band")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix-cells")
         sources = cells.groupBy("source", "source_key").agg(
             F.sum("words").alias("size"), *(F.sum(F.when(F.col("band") == b, F.col("words")).otherwise(0)).alias(f"w{b}") for b in range(n)))
         sources = written(source_targets(sources, weights, most), "mix-sources")
         sources = with_rates(sources, band_duals(sources, most), most)
-        rated = cells.join(sources, "source_key").select("source_key", "class", "words", "source_size", "target", F.coalesce(F.get("rates", F.col("band")), F.lit(0.0)).alias("rate"))
+        rated = cells.join(sources, "source_key").select("source_key", "class", "words", "n", "source_size", "target", F.coalesce(F.get("rates", F.col("band")), F.lit(0.0)).alias("rate"))
         # bands begin at powers of two, so a class lies in one band
         rated = written(rated, "mix-rates")
-        found = thresholds(rated, rows)
-        self.params = written(rated.join(found, ["source_key", "class"]).drop("words"), "mix-params")
+        found = thresholds(rated.select("source_key", "class", "words", "n", "rate"), rows, most)
+        self.params = written(rated.join(found, ["source_key", "class"]).drop("words", "n"), "mix-params")
 
     def decide(self, docs: DataFrame, names: dict[str, str]) -> DataFrame:
         """docs with size, source_size, target, rate and copies under the given names."""

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -766,6 +767,38 @@ def test_copies_follow_the_rates(spark):
     assert got[got["size"] < 2048].rate.groupby(got.source).nunique().gt(1).all()  # rates differ within a source, by length
 
 
+@pytest.mark.parametrize("exact", [4096, 20])
+@pytest.mark.parametrize("times", [2.9, 2.97, 2.999, 3.0])
+def test_never_more_than_three_copies(spark, monkeypatch, exact, times):
+    """A source whose target is just below three times its words, of mixed lengths, beside one with a single huge document."""
+    monkeypatch.setattr(mixing, "EXACT", exact)
+    rng = np.random.default_rng(int(times * 1000))
+    own = [int(n) + 1 for n in np.exp(rng.normal(4, 1.5, 250))]
+    rest = [int(n) + 1 for n in np.exp(rng.normal(4, 1.5, 600))]
+    # of weights 5, 2, 1 the first source shares 5 / 8 of all words where it is not held at three times its own
+    more = int(sum(own) * times * 8 / 5) - sum(own) - sum(rest)
+    texts = [(n, "a") for n in own] + [(n, "b") for n in rest] + [(max(more, 1), "c")]
+    rows = spark.createDataFrame([(i, "w " * n, s) for i, (n, s) in enumerate(texts)], "doc_id long, text string, source string")
+    got = mixing.mix(rows).toPandas().merge(rows.select("doc_id", "source").toPandas(), left_on="id", right_on="doc_id")
+    assert got.copies.max() <= 3 and (got.taken == got.copies * got["size"]).all()
+    by = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), words=("size", "sum"))
+    assert abs(by.target["a"] / by.words["a"] - times) < 0.02
+    assert (abs(by.taken - by.target)[["a", "b"]] <= 0.01 * by.target[["a", "b"]]).all()
+    assert abs(by.taken["c"] - by.target["c"]) <= by.words["c"] / 2  # a whole document or none
+    staged = mixing.mixing_stage(rows).groupBy("doc_id").count().toPandas()
+    assert staged["count"].max() <= 3 and dict(zip(staged.doc_id, staged["count"])) == {i: c for i, c in zip(got.id, got.copies) if c}
+
+
+def test_what_is_left_goes_to_classes_with_room():
+    """Words that the smaller classes, full as they are, cannot take go back up."""
+    group = lambda *classes: pd.DataFrame([
+        {"source_key": "=s", "class": k, "at": at, "size": size, "rate": rate, "words": sum(sizes), "n": len(sizes)} for k, rate, sizes in classes for at, size in enumerate(sizes)])
+    found = mixing.settled(group((7, 2.5, [100, 100, 90]), (3, 3.0, [5, 5, 5])), 3).set_index("class")
+    assert found.floor[3] == 3 and found.threshold[3] == 0 and found.floor[7] == 2 and found.threshold[7] == 1
+    found = mixing.settled(group((7, 1.6, [100]), (3, 1.0, [5, 5, 5])), 3).set_index("class")
+    assert found.floor[7] == 1 and found.threshold[7] == 1 << 24 and found.floor[3] == found.threshold[3] == 0  # 200 of 175 come nearer than 145
+
+
 def plain_targets(sizes, weights=(5.0, 2.0, 1.0), most=3):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
