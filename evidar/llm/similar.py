@@ -5,14 +5,17 @@ similarity differ in each bit with a known chance, so partitions of correlated b
 each find them with a known chance. The thresholds (-1: not probed) are those of least estimated cost
 that find a pair at the similarity with a chance of RECALL, by dynamic programming. For certain they
 find every pair that differs in no more bits than the thresholds and the probed partitions, less one,
-add up to: the generalised pigeonhole principle. What meets is thinned to spanning forests of nearest
-pairs, and these pairs are verified by the exact similarity of their shingles.
+add up to: the generalised pigeonhole principle. What meets is verified by the exact similarity of the
+shingles, in rounds: of each bucket the spanning forests of nearest pairs go first, and where pairs were left
+over those of them that still lie in two groups follow, until there are none. Rows of a bucket too large to be
+compared at once meet by further bits in the first round; from then on all rows outside its largest group are
+compared with all rows of the bucket, in blocks.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from itertools import combinations
 
@@ -38,13 +41,15 @@ CANDIDATE_COST = 0.01
 #: Words of the fingerprint that go along with a key, and bits of them in which a candidate may differ:
 #: four standard deviations above what pairs at SIMILARITY do.
 CARRIED = 4
-#: Forests of nearest pairs taken from a bucket: a group stays whole unless all of these fail between two parts of it.
-FORESTS = 3
+#: Forests of nearest pairs taken from a bucket in the first round; in each further round of those it has left, so many times more.
+FORESTS, MORE = 3, 4
 SMALL_BUCKET = 48
-#: Rows of a bucket that are compared at once, and those that are compared with the next block too.
+#: Rows of a bucket that are compared in one task; of those dealt again in the first round, how many meet the next block too.
 BLOCK, OVERLAP = 1024, 128
-#: Larger buckets are dealt again by further bits.
-HOT_BUCKET = 4096
+#: Larger buckets are hot.
+HOT_BUCKET = 1024
+#: Pairs that a task holds before it thins them.
+_HELD_PAIRS = 1 << 19
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -192,90 +197,137 @@ def put_and_probe(classes: DataFrame, plan: list[tuple[int, list[int], int]]) ->
     return classes.select("node", *(f"f{k}" for k in range(WORDS))).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def split_hot(put: DataFrame, most: int = HOT_BUCKET) -> DataFrame:
-    """Rows of buckets above most go to smaller ones instead, one for 12 bits of each carried word."""
-    hot = put.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(F.col("key").alias("hot"))
-    hot = written(hot, "near-hot")
-    if hot.isEmpty():
-        return put
-    again = [F.xxhash64("key", F.lit(k), F.col(f"f{k}").bitwiseAND(0xFFF)) for k in range(CARRIED)]
-    rest = [f"f{k}" for k in range(CARRIED)]
-    large = put.join(hot, F.col("key") == F.col("hot")).select(F.explode(F.array(*again)).alias("key"), "node", *rest)
-    return put.join(hot, F.col("key") == F.col("hot"), "left_anti").unionByName(large)
+_GROUPED = ["part", "key", "node", "root", "asks", *(f"f{k}" for k in range(CARRIED))]
+
 
+def hot_keys(put: DataFrame) -> DataFrame:
+    """key of each bucket of more than HOT_BUCKET rows."""
+    return put.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_BUCKET).select("key")
 
-def candidates(put: DataFrame, most_bits: int) -> DataFrame:
-    """a < b: for each bucket FORESTS spanning forests of nearest pairs within most_bits of the carried words."""
+
+def first_round(put: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows by bucket, those of hot buckets by 12 bits of each carried word too instead: that links what is nearly equal."""
+    words = [f"f{k}" for k in range(CARRIED)]
+    plain = put.join(hot, "key", "left_anti").select(F.col("key").alias("part"), "key", "node", F.col("node").alias("root"), F.lit(1).cast("long").alias("asks"), *words)
+    again = [F.xxhash64("key", F.lit(k), F.col(f"f{k}").bitwiseAND(0xFFF)) for k in range(CARRIED)]
+    large = put.join(hot, "key", "left_semi").select(F.explode(F.array(*again)).alias("part"), "key", "node", F.col("node").alias("root"), F.lit(1).cast("long").alias("asks"), *words)
+    return plain.unionByName(large)
+
+
+def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of these buckets, where they lie in more than one group, each with its group's root. In a bucket of more than
+    BLOCK rows those outside the largest group ask, block by block, all rows, block by block."""
+    roots = labels.select(F.col("node").alias("linked"), F.col("root").alias("known"))
+    rows = put.join(keys, "key", "left_semi").join(roots, F.col("node") == F.col("linked"), "left")
+    rows = written(rows.select("key", "node", F.coalesce("known", "node").alias("root"), *(f"f{k}" for k in range(CARRIED))), "near-open")
+    groups = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = groups.groupBy("key").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    rows = rows.join(sizes.select("key", "rows", F.col("largest.root").alias("most"), (F.col("rows") - F.col("largest.n")).alias("others")), "key")
+    blocks, asking = (F.ceil(F.col(c) / F.lit(BLOCK)) for c in ("rows", "others"))
+    part = lambda a, b: F.xxhash64("key", a, b)
+    own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n)
+    words = [f"f{k}" for k in range(CARRIED)]
+    row = lambda part, asks: [part.alias("part"), "key", "node", "root", F.lit(asks).cast("long").alias("asks"), *words]
+    small, large = rows.where(F.col("rows") <= BLOCK), rows.where(F.col("rows") > BLOCK)
+    zero = F.lit(0).cast("long")
+    asked = large.withColumn("other", F.explode(F.sequence(zero, asking - 1))).select(*row(part(F.col("other"), own(blocks, 0)), 0))
+    ask = large.where("root <> most").withColumn("other", F.explode(F.sequence(zero, blocks - 1))).select(*row(part(own(asking, 1), F.col("other")), 1))
+    return small.select(*row(F.col("key"), 1)).unionByName(asked).unionByName(ask)
+
+
+def candidates(grouped: DataFrame, most_bits: int, layers: int, cut: bool) -> DataFrame:
+    """a < b for the pairs of layers spanning forests, nearest first, over the groups in each part, of rows within most_bits of the
+    carried words of which one asks; and open (a and b null), the key, where pairs were left over. cut: a part of more than
+    BLOCK + OVERLAP rows goes block after block, each with some rows of the one before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 2 + CARRIED), np.int64)
+        held = np.zeros((0, len(_GROUPED)), np.int64)
         for batch in batches:
             held = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1)])
-            last = int(np.searchsorted(held[:, 0], held[-1, 0]))  # the last bucket may go on
+            last = int(np.searchsorted(held[:, 0], held[-1, 0]))  # the last part may go on
             if last:
-                yield from _pairs(held[:last], most_bits)
+                yield from _pairs(held[:last], most_bits, layers)
                 held = held[last:]
-            while len(held) >= BLOCK + OVERLAP:  # one bucket goes on: block after block, each with some rows of the one before
-                yield from _pairs(held[:BLOCK], most_bits)
+            while cut and len(held) >= max(BLOCK, HOT_BUCKET) + OVERLAP:
+                yield from _pairs(held[:BLOCK], most_bits, layers)
                 held = np.concatenate([held[:OVERLAP], held[BLOCK:]])
         if len(held):
-            yield from _pairs(held, most_bits)
+            yield from _pairs(held, most_bits, layers)
 
-    names = ["key", "node", *(f"f{k}" for k in range(CARRIED))]
-    dealt = put.select(*names).repartition("key").sortWithinPartitions("key", "f0", "f1", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = grouped.select(*_GROUPED).repartition("part").sortWithinPartitions("part", "f0", "f1", "node")
+    return dealt.mapInArrow(run, "a long, b long, open long").distinct()
 
 
-def _pairs(rows: np.ndarray, most_bits: int) -> Iterator[pa.RecordBatch]:
-    """Of whole buckets, sorted by key."""
-    key, node, f = rows[:, 0], rows[:, 1], np.ascontiguousarray(rows[:, 2:]).view(np.uint64)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)])
+def _pairs(rows: np.ndarray, most_bits: int, layers: int) -> Iterator[pa.RecordBatch]:
+    """Of whole parts, sorted by part."""
+    part, key, node, root, asks = rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4] > 0
+    f = np.ascontiguousarray(rows[:, 5:]).view(np.uint64)
+    sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)])
     starts = np.cumsum(sizes) - sizes
+    # rows of one group in one part are one vertex
+    _, vertex = np.unique(np.stack([np.repeat(np.arange(len(sizes)), sizes), root]), axis=1, return_inverse=True)
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    count, left_over = 0, np.zeros(len(rows), bool)
+
+    def thin() -> None:
+        nonlocal held, count
+        i, j, d = (np.concatenate(x) for x in zip(*held))
+        chosen, left = forests(i, j, d, vertex.ravel(), layers)
+        left_over[i[left]] = True
+        held, count = [(i[chosen], j[chosen], d[chosen])], len(chosen)
 
     def near(i: np.ndarray, j: np.ndarray) -> None:
+        nonlocal count
+        some = np.flatnonzero((root[i] != root[j]) & (asks[i] | asks[j]))
+        i, j = i[some], j[some]
         d = np.bitwise_count(f[i] ^ f[j]).sum(1, dtype=np.int64)
-        hit = np.flatnonzero((d <= most_bits) & (node[i] != node[j]))
-        found.append((i[hit], j[hit], d[hit]))
+        hit = np.flatnonzero(d <= most_bits)
+        if len(hit):
+            held.append((i[hit], j[hit], d[hit]))
+            count += len(hit)
+            if count > _HELD_PAIRS + len(rows) * layers:
+                thin()
 
     at = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL_BUCKET), sizes))
-    for step in range(1, min(SMALL_BUCKET, len(key))):
-        at = at[at + step < len(key)]
-        at = at[key[at] == key[np.minimum(at + step, len(key) - 1)]]
+    for step in range(1, min(SMALL_BUCKET, len(part))):
+        at = at[at + step < len(part)]
+        at = at[part[at] == part[np.minimum(at + step, len(part) - 1)]]
         if not len(at):
             break
         near(at, at + step)
     for start, size in zip(starts[sizes > SMALL_BUCKET].tolist(), sizes[sizes > SMALL_BUCKET].tolist()):
-        for low in range(0, size, BLOCK - OVERLAP):
-            block = np.arange(start + low, start + min(low + BLOCK, size))
-            for k in range(0, len(block) - 1):
-                near(np.full(len(block) - k - 1, block[k]), block[k + 1 :])
-            if low + BLOCK >= size:
-                break
-    if not found:
+        for k in range(start, start + size - 1):
+            rest = np.arange(k + 1, start + size)
+            near(np.full(len(rest), k), rest)
+    if not held:
         return
-    i, j, d = (np.concatenate(x) for x in zip(*found))
-    chosen = forests(i, j, d, len(key))
-    a, b = node[i[chosen]], node[j[chosen]]
+    thin()
+    i, j, _ = held[0]
+    a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+    keys = np.unique(key[left_over])
     for at in range(0, len(a), 65536):
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[at : at + 65536]), pa.array(np.maximum(a, b)[at : at + 65536])], ["a", "b"])
+        some = slice(at, at + 65536)
+        yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(b[some]), pa.nulls(len(a[some]), pa.int64())], ["a", "b", "open"])
+    if len(keys):
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64())] * 2 + [pa.array(keys)], ["a", "b", "open"])
 
 
-def forests(i: np.ndarray, j: np.ndarray, d: np.ndarray, n: int, layers: int = FORESTS) -> np.ndarray:
-    """The edges of a spanning forest of nearest pairs, of one of what is left, and so on."""
+def forests(i: np.ndarray, j: np.ndarray, d: np.ndarray, vertex: np.ndarray, layers: int) -> tuple[np.ndarray, np.ndarray]:
+    """The edges of a spanning forest of nearest pairs, of one of what is left, and so on; and what is left of all. vertex: of
+    each row. Pairs that come again later are the ones chosen now or are left over again."""
     order = np.lexsort((j, i, d))
     left, out = order, []
     for _ in range(layers):
-        part, taken = np.arange(n), []
+        part, taken = np.arange(int(vertex.max()) + 1), []
         live = left
         while len(live):
-            pi, pj = part[i[live]], part[j[live]]
+            pi, pj = part[vertex[i[live]]], part[vertex[j[live]]]
             open_ = pi != pj
             live, pi, pj = live[open_], pi[open_], pj[open_]
             if not len(live):
                 break
             # each part's nearest edge: edges are in order of distance, so the first one of each
-            first = np.full(n, len(live))
+            first = np.full(len(part), len(live))
             rank = np.arange(len(live))
             np.minimum.at(first, pi, rank)
             np.minimum.at(first, pj, rank)
@@ -287,7 +339,7 @@ def forests(i: np.ndarray, j: np.ndarray, d: np.ndarray, n: int, layers: int = F
         chosen = np.concatenate(taken)
         out.append(chosen)
         left = left[~np.isin(left, chosen)]
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    return np.concatenate(out) if out else np.zeros(0, np.int64), left
 
 
 def _joined(part: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -332,6 +384,28 @@ def verified(pairs: DataFrame, docs: DataFrame, sketched: DataFrame, id_col: str
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def linked(put: DataFrame, most_bits: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node and root of what verified pairs connect. Ends once every pair that meets in a bucket within most_bits has been
+    verified or lies in one group: each round takes more of what the buckets have left."""
+    hot = written(hot_keys(put), "near-hot")
+    grouped, layers, links, seen = first_round(put, hot), FORESTS, None, None
+    while True:
+        found = written(candidates(grouped, most_bits, layers, cut=links is None), "near-found")
+        pairs = found.where("open is null").select("a", "b")
+        if seen is not None:
+            pairs = written(pairs.join(seen, ["a", "b"], "left_anti"), "near-pairs")
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        new = written(verify(pairs), "near-links")
+        before, links = links, new if links is None else links.unionByName(new)
+        labels = connected(links)
+        keys = found.where("open is not null").select(F.col("open").alias("key")).distinct()
+        keys = written(keys.unionByName(hot) if before is None else keys, "near-keys")
+        if keys.isEmpty():
+            return labels
+        layers *= MORE if before is not None else 1
+        grouped = later_round(put, keys, labels)
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """uid, id, text_key, keep_uid, keep_id, keep_key for each row of docs: the row of its group that has the
     least id (null last; then the least text key and uid). Groups are what chains of pairs connect whose
@@ -351,9 +425,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rate = difference_rate(similarity)
     most_bits = round(64 * CARRIED * rate + 4 * math.sqrt(64 * CARRIED * rate * (1 - rate)))
     if n > 1:
-        put = split_hot(put_and_probe(some, make_plan(n, sums, similarity)))
-        pairs = written(candidates(put, most_bits), "near-pairs")
-        labels = connected(written(verified(pairs, docs, sketched, id_col, text_col, width, similarity), "near-links"))
+        put = put_and_probe(some, make_plan(n, sums, similarity))
+        labels = linked(put, most_bits, lambda pairs: verified(pairs, docs, sketched, id_col, text_col, width, similarity))
         named = classes.select("digest", "node", "least").join(labels.select(F.col("node").alias("linked"), "root"), F.col("node") == F.col("linked"), "left")
     else:
         named = classes.select("digest", "node", "least", F.lit(None).cast("long").alias("root"))

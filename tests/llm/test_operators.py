@@ -454,6 +454,61 @@ def test_large_buckets_stay_connected(spark, monkeypatch):
     assert {r.keep_id for r in similar.similar_groups(rows).collect()} == {0}
 
 
+def template_rows(n, pairs, seed=5):
+    """Rows of one bucket of n: fingerprints near one template (so that they all meet, and none with another within the bound
+    by chance), and so many pairs at the distance of texts of similarity 0.8."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2, 64 * similar.CARRIED)
+    rows = np.where(rng.random((n, len(base))) < 0.32, 1 - base, base)
+    rate = similar.difference_rate(0.8)
+    for k in range(pairs):
+        rows[2 * k + 1] = np.where(rng.random(len(base)) < rate, 1 - rows[2 * k], rows[2 * k])
+    return np.packbits(rows.astype(np.uint8), axis=1, bitorder="little").view("<i8")
+
+
+@pytest.mark.parametrize("n", [1000, 4000, 20_000])
+def test_pairs_of_full_buckets_are_found(spark, n):
+    """All in one bucket, pairs at 0.8 among template rows: every one of them within the bound of bits is looked at."""
+    pairs = 200
+    rate = similar.difference_rate(0.8)
+    most = round(256 * rate + 4 * math.sqrt(256 * rate * (1 - rate)))
+    words = template_rows(n, pairs)
+    node = np.random.default_rng(1).permutation(n).astype(np.int64)
+    frame = pd.DataFrame({"key": 7, "node": node, **{f"f{k}": words[:, k] for k in range(similar.CARRIED)}})
+    put = spark.createDataFrame(frame)
+    true = {tuple(sorted((int(node[2 * k]), int(node[2 * k + 1])))) for k in range(pairs)}
+    planted = spark.createDataFrame(sorted(true), "a long, b long")
+    labels = {r.node: r.root for r in similar.linked(put, most, lambda found: found.join(planted, ["a", "b"], "left_semi")).collect()}
+    assert sum(labels.get(a, -1) == labels.get(b, -2) for a, b in true) >= 0.98 * pairs
+
+
+def test_every_candidate_is_looked_at(spark, monkeypatch):
+    """A hot bucket whose true links are not the nearest pairs: rounds go on until all pairs within the bound were verified."""
+    monkeypatch.setattr(similar, "HOT_BUCKET", 20)
+    monkeypatch.setattr(similar, "BLOCK", 16)
+    monkeypatch.setattr(similar, "OVERLAP", 2)
+    monkeypatch.setattr(similar, "SMALL_BUCKET", 4)
+    rng = np.random.default_rng(2)
+    words = np.packbits((rng.random((90, 256)) < 0.05).astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    frame = pd.DataFrame({"key": [1] * 60 + [2] * 12 + [3] * 18, "node": range(90), **{f"f{k}": words[:, k] for k in range(similar.CARRIED)}})
+    distance = np.bitwise_count((words[:, None, :] ^ words[None, :, :]).view("<u8")).sum(2)
+    same = frame.key.to_numpy()[:, None] == frame.key.to_numpy()[None, :]
+    most = int(np.median(distance))
+    within = [(i, j) for i in range(90) for j in range(i + 1, 90) if same[i, j] and distance[i, j] <= most]
+    far = sorted(within, key=lambda p: -int(distance[p]))[:30:3]  # the least near ones
+    planted = spark.createDataFrame(far, "a long, b long")
+    looked = []
+
+    def verify(found):
+        looked.extend(map(tuple, found.collect()))
+        return found.join(planted, ["a", "b"], "left_semi")
+
+    labels = {r.node: r.root for r in similar.linked(spark.createDataFrame(frame), most, verify).collect()}
+    assert all(labels[i] == labels[j] for i, j in far) and len(looked) == len(set(looked)) and set(looked) <= set(within)
+    rest = [(i, j) for i, j in within if labels.get(i, i) != labels.get(j, j)]
+    assert set(rest) <= set(looked)
+
+
 def test_thresholds_of_the_stage_find_pairs():
     rate = similar.difference_rate(0.8)
     for n in (10, 10**5, 10**8, 10**11):
