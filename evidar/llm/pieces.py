@@ -537,10 +537,9 @@ def decode(ids: Column, path: str | None = None) -> Column:
     """The text of an array of ids; null for null."""
     model = _model_path(path)
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batch: pa.Array) -> pa.Array:
         pieces = pieces_of(model)
-        for batch in batches:
-            yield pa.array([decoded(pieces, x.values.to_numpy(zero_copy_only=False)) if x.is_valid else None for x in batch], pa.string())
+        return pa.array([decoded(pieces, x.values.to_numpy(zero_copy_only=False)) if x.is_valid else None for x in batch], pa.string())
 
     return F.arrow_udf(run, "string")(ids)
 
@@ -549,16 +548,14 @@ def ids_digest(ids: Column, path: str | None = None) -> Column:
     """SHA-256 of the decimal ids joined by one space each, in lowercase hex."""
     model = _model_path(path)
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decimals = pieces_of(model).decimals
-        for batch in batches:
-            out = []
-            for row in batch:
-                values, digest = row.values.to_numpy(zero_copy_only=False), hashlib.sha256()
-                for at in range(0, len(values), 65536):
-                    digest.update(b" " * bool(at) + b" ".join(map(decimals.__getitem__, values[at : at + 65536].tolist())))
-                out.append(digest.hexdigest())
-            yield pa.array(out, pa.string())
+    def run(batch: pa.Array) -> pa.Array:
+        decimals, out = pieces_of(model).decimals, []
+        for row in batch:
+            values, digest = row.values.to_numpy(zero_copy_only=False), hashlib.sha256()
+            for at in range(0, len(values), 65536):
+                digest.update(b" " * bool(at) + b" ".join(map(decimals.__getitem__, values[at : at + 65536].tolist())))
+            out.append(digest.hexdigest())
+        return pa.array(out, pa.string())
 
     return F.arrow_udf(run, "string")(ids)
 
