@@ -7,6 +7,8 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from evidar.functions.text import of_any_script
+
 # Closed vocabularies of price types.
 TRAINING_LINES = {
     "asking": "normal_listing", "normal_listing": "normal_listing",
@@ -48,7 +50,7 @@ def estimator_price_type(price_type: Column, sale_verified: Column, completed_pr
 
 def urgent_claim(text: Column) -> Column:
     """An urgent sale is claimed once its negations are taken away."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), "(?U)" + URGENT_NEGATED, "").rlike("|".join(URGENT_WORDS))
+    return F.regexp_replace(F.coalesce(text, F.lit("")), of_any_script(URGENT_NEGATED), "").rlike("|".join(URGENT_WORDS))
 
 
 def urgent_override(price_type: Column, text: Column) -> Column:
@@ -63,8 +65,8 @@ def price_semantic_review(text: Column, price_type: Column) -> Column:
     give several prices. Null where nothing does; an amount is never chosen."""
     said = F.coalesce(text, F.lit(""))
     brokerage = said.contains(BROKERAGE_WORD)
-    badges = said.contains("含勳章") & said.contains("不含勳章") & said.contains("分期") & (F.regexp_count(said, F.lit(PRICE_TERM)) >= 3)
-    surcharge = said.rlike(INSTALLMENT) & said.rlike("(?i)" + SURCHARGE)
+    badges = said.contains("含勳章") & said.contains("不含勳章") & said.contains("分期") & (F.regexp_count(said, F.lit(of_any_script(PRICE_TERM))) >= 3)
+    surcharge = said.rlike(of_any_script(INSTALLMENT)) & said.rlike("(?i)" + of_any_script(SURCHARGE))
     several = badges | surcharge
     codes = F.array_compact(F.array(
         F.when(brokerage, "brokerage_included_price"), F.when(several, "multiple_price_terms"),
@@ -77,4 +79,4 @@ def price_semantic_review(text: Column, price_type: Column) -> Column:
 
 def sale_and_exchange(text: Column) -> Column:
     """Cash and exchange offered together: a mixed offer, whose entity kind is unknown."""
-    return F.coalesce(text, F.lit("")).rlike(SALE_EXCHANGE)
+    return F.coalesce(text, F.lit("")).rlike(of_any_script(SALE_EXCHANGE))

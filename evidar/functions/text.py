@@ -11,6 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: White space and digits of any script, where patterns of listing texts say white space and digit.
+WHITE, DIGIT = r"[\p{IsWhite_Space}\x1c-\x1f]", r"\p{Nd}"
+_ZEROS = "０٠۰०০"
+
+
+def of_any_script(pattern: str) -> str:
+    """The pattern with white space and digits of any script in place of the ASCII ones."""
+    return pattern.replace(r"\s", WHITE).replace("[0-9]", DIGIT).replace("[0-9", "[" + DIGIT)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Digits of other scripts (full-width, Arabic, Persian, Devanagari, Bengali) as ASCII ones."""
+    return F.translate(text, "".join(chr(ord(z) + k) for z in _ZEROS for k in range(10)), "0123456789" * len(_ZEROS))
+
+
 def lower_alnum(text: Column) -> Column:
     """Lower case, letters and digits only."""
     return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]", "")

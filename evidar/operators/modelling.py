@@ -17,6 +17,8 @@ from evidar.sources.stages import staged
 ALPHAS, L1_RATIOS = (0.01, 0.03, 0.1, 0.3, 1.0), (0.1, 0.5, 0.9)
 CI_SEED, CI_DRAWS, STABILITY_SEED, STABILITY_DRAWS = 1729, 400, 20260816, 500
 MIN_LINEAR_ROWS, MIN_TREE_ROWS = 100, 300
+#: What counts as a number: not the words that a cast would take for one, as NaN and Infinity.
+NUMBER = r"^[ \t]*[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?[ \t]*$"
 
 
 def long_features(rows: DataFrame, row_id: str, scalars: dict[str, Column], arrays: dict[str, tuple[Column, str, list[str]]] | None = None) -> DataFrame:
@@ -34,7 +36,7 @@ def long_features(rows: DataFrame, row_id: str, scalars: dict[str, Column], arra
 
 def column_types(features: DataFrame) -> DataFrame:
     """feature, numeric (all present values but unknown are numbers), n."""
-    number = F.try_to_number("value", F.lit("S999999999999999.999999")).isNotNull() | F.col("value").rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$")
+    number = F.col("value").rlike(NUMBER) & F.col("value").try_cast("double").isNotNull()
     present = F.col("value") != "unknown"
     return features.groupBy("feature").agg(F.coalesce(F.bool_and(F.when(present, number)), F.lit(False)).alias("numeric"), F.count(F.lit(1)).alias("n"))
 
@@ -44,7 +46,7 @@ def sparse_vector(features: DataFrame, row_id: str) -> DataFrame:
     typed = features.join(F.broadcast(column_types(features)), "feature")
     return typed.where("value <> 'unknown'").select(
         row_id, F.when(F.col("numeric"), F.col("feature")).otherwise(F.concat_ws("=", "feature", "value")).alias("feature"),
-        F.when(F.col("numeric"), F.try_to_number("value", F.lit("S999999999999999.999999")).cast("double")).otherwise(1.0).alias("value"))
+        F.when(F.col("numeric"), F.col("value").try_cast("double")).otherwise(1.0).alias("value"))
 
 
 class ElasticNet:

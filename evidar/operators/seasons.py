@@ -11,21 +11,22 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from evidar.functions.text import WHITE
 from evidar.operators.relate import expand_range, islands
 
 # Words and patterns of the listings' language.
 HARD = "。；;！!？?\\n"
 SOFT = HARD + "，,、"
 NOT_DONE = "(?:未|尚未|沒有|没有|無法|无法|無|无)(?:畢|毕)(?:業|业)?"
-DONE = "(?<!(?:未|尚未|沒有|没有|無法|无法|無|无|不算|半)\\s{0,5})(?:畢業|毕业)"
-HEADING = "(?:畢業季節|毕业季节|畢業季|毕业季)\\s*(?:[:：]|含)?"
-PARTIAL = "^\\s*(?:季\\s*)?(?:半畢(?:業)?|半毕(?:业)?|[1-9]\\s*/\\s*[2-9])"
-AND = "^\\s*(?:與|与|和|及)\\s*$"
-TO = "\\s*(?:～|~|至|到|—|-)\\s*"
+DONE = "(?<!(?:未|尚未|沒有|没有|無法|无法|無|无|不算|半)" + WHITE + "{0,5})(?:畢業|毕业)"
+HEADING = "(?:畢業季節|毕业季节|畢業季|毕业季)" + WHITE + "*(?:[:：]|含)?"
+PARTIAL = "^" + WHITE + "*(?:季" + WHITE + "*)?(?:半畢(?:業)?|半毕(?:业)?|[1-9]" + WHITE + "*/" + WHITE + "*[2-9])"
+AND = "^" + WHITE + "*(?:與|与|和|及)" + WHITE + "*$"
+TO = WHITE + "*(?:～|~|至|到|—|-)" + WHITE + "*"
 AMBIGUOUS = ("凜冬", "凛冬")
 GATED = ("集結", "集结", "破碎")
-GATE_CLOSED = "(?:不含|不包|無|无|缺)\\s*$"
-GATE_HEADING = "(?:季節|季节|畢業季節|毕业季节)\\s*[:：\\-—]?\\s*[^\\n]{0,20}$"
+GATE_CLOSED = "(?:不含|不包|無|无|缺)" + WHITE + "*$"
+GATE_HEADING = "(?:季節|季节|畢業季節|毕业季节)" + WHITE + "*[:：\\-—]?" + WHITE + "*[^\\n]{0,20}$"
 GATE_WORDS = "畢業|毕业|季卡|有卡|無卡|无卡|半畢|半毕"
 OWNED = ("complete", "partial", "owned_not_complete")
 
@@ -63,24 +64,24 @@ def _flags() -> dict[str, Column]:
     positive = F.concat(left, "term", right).rlike(DONE) | F.regexp_extract(before, f"[^{HARD}]*$", 0).rlike(f"{HEADING}[^{HARD}]*$")
     near = lambda words, later: after.rlike(f"^.{{0,5}}(?:{words}{later})") | before.rlike(f"(?:{words}).{{0,5}}$")
     return {
-        "missing": before.rlike("(?:缺|缺少|斷|断)\\s*$") | after.rlike("^\\s*(?:缺|斷季|断季)"),
+        "missing": before.rlike("(?:缺|缺少|斷|断)" + WHITE + "*$") | after.rlike("^" + WHITE + "*(?:缺|斷季|断季)"),
         "negative": negative, "positive": positive & ~negative,
         "partial": F.regexp_extract("up_to_next", f"^[^{SOFT}]*", 0).rlike(PARTIAL) | (F.col("up_to_next").rlike(AND) & F.col("after_next").rlike(PARTIAL)),
         "pass_yes": near("季卡|有卡", "|卡有"), "pass_no": near("無卡|无卡", ""),
     }
 
 
-def season_claims(rows: DataFrame, id_col: str, text_col: str, aliases: dict[str, str], order: dict[str, int]) -> DataFrame:
-    """id, season_id, status, pass_owned, evidence_state. order: season -> place. The seasons between the ends of a
+def season_claims(rows: DataFrame, id_col: str, text_col: str, aliases: dict[str, str], order: dict[str, int], flags: bool = False) -> DataFrame:
+    """id, season_id, status, pass_owned, evidence_state. flags: also whether completion was claimed (positive) or denied (negative). order: season -> place. The seasons between the ends of a
     range are claimed too: as the range says, unknown if it says nothing."""
     named = mentions(rows, id_col, text_col, aliases).where("season_id is not null")
-    flags = _flags()
-    held = named.select("id", "season_id", *[c.alias(n) for n, c in flags.items()]).groupBy("id", "season_id").agg(*[F.bool_or(n).alias(n) for n in flags])
+    signs = _flags()
+    held = named.select("id", "season_id", *[c.alias(n) for n, c in signs.items()]).groupBy("id", "season_id").agg(*[F.bool_or(n).alias(n) for n in signs])
     conflict = F.col("positive") & F.col("negative")
     status = F.when(F.col("missing"), "confirmed_missing").when(conflict, "unknown").when(F.col("negative"), "owned_not_complete").when(
         F.col("partial"), "partial").when(F.col("positive"), "complete").otherwise("owned_not_complete")
     held = held.select("id", "season_id", status.alias("status"), F.when(F.col("pass_yes"), "yes").when(F.col("pass_no"), "no").otherwise("unknown").alias("pass_owned"),
-                       F.when(conflict, "conflict").otherwise("text_claim").alias("evidence_state"))
+                       F.when(conflict, "conflict").otherwise("text_claim").alias("evidence_state"), "positive", "negative")
     ranges = _ranges(named, order)
     ends = ranges.where("said = 'complete'").select("id", F.explode(F.array("season_id", "to_season")).alias("season_id")).distinct().withColumn("whole", F.lit(True))
     held = held.join(ends, ["id", "season_id"], "left").withColumn(
@@ -89,8 +90,10 @@ def season_claims(rows: DataFrame, id_col: str, text_col: str, aliases: dict[str
     inside = expand_range(ranges, "low", "high", "place").join(places.withColumnRenamed("season_id", "inner"), "place")
     inside = inside.groupBy("id", F.col("inner").alias("season_id")).agg(F.min_by("said", "n").alias("status"))
     inside = inside.join(held.select("id", "season_id"), ["id", "season_id"], "left_anti").select(
-        "id", "season_id", "status", F.lit("unknown").alias("pass_owned"), F.when(F.col("status") == "unknown", "unknown").otherwise("text_claim").alias("evidence_state"))
-    return held.unionByName(inside)
+        "id", "season_id", "status", F.lit("unknown").alias("pass_owned"), F.when(F.col("status") == "unknown", "unknown").otherwise("text_claim").alias("evidence_state"),
+        F.lit(False).alias("positive"), F.lit(False).alias("negative"))
+    every = held.unionByName(inside)
+    return every if flags else every.drop("positive", "negative")
 
 
 def _places(spark: SparkSession, order: dict[str, int]) -> DataFrame:
