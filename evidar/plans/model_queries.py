@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidar.operators import modelling
+from evidar.operators import modelling, sparse_net
 from evidar.plans.registry import query
 from evidar.sources.tables import table
 
@@ -103,3 +103,51 @@ def grouped_folds_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = modelling.grouped_folds(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", 5)
     per = folded.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("fold").alias("folds"))
     return per.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"), F.count_if(F.col("folds") > 1).cast("int").alias("split_groups"))
+
+
+NET_FEATURES = """
+f AS (SELECT c_custkey, unnest(['mkt.segment', 'mkt.nation', 'acct.balance']) AS feature, unnest([c_mktsegment, CASE WHEN c_nationkey < 20 THEN 'n' || c_nationkey END, CASE WHEN c_acctbal > 0 THEN floor(c_acctbal)::BIGINT::VARCHAR END]) AS value FROM customer),
+g AS (SELECT * FROM f WHERE value IS NOT NULL)"""
+
+
+def net_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = F.when(F.col("c_nationkey") < 20, F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    return modelling.long_features(table(spark, sf_dir, "customer"), "c_custkey", {
+        "mkt.segment": F.col("c_mktsegment"), "mkt.nation": nation, "acct.balance": F.when(F.col("c_acctbal") > 0, F.floor("c_acctbal"))})
+
+
+@query("sparse_gram", f"""WITH {NET_FEATURES},
+e AS (SELECT c_custkey, '1' AS c, 1.0::DOUBLE AS x FROM customer UNION ALL SELECT c_custkey, 'y', (c_custkey % 7)::DOUBLE FROM customer UNION ALL SELECT c_custkey, 'n:acct.balance', value::DOUBLE FROM g WHERE feature = 'acct.balance'
+  UNION ALL SELECT c_custkey, 'c:' || feature || '=' || value, 1.0 FROM g WHERE feature <> 'acct.balance' UNION ALL SELECT c_custkey, 'p:' || feature, 1.0 FROM g WHERE feature <> 'mkt.segment')
+SELECT a.c AS "left", b.c AS "right", sum(a.x * b.x) AS total FROM e a JOIN e b ON a.c_custkey = b.c_custkey AND a.c <= b.c GROUP BY 1, 2""")
+def sparse_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 7).alias("y"))
+    entries, _ = sparse_net.design(rows, net_features(spark, sf_dir), "c_custkey", "y")
+    return sparse_net.sparse_gram(entries, "c_custkey").withColumnRenamed("sum", "total")
+
+
+@query("sparse_net_coefficients")
+def sparse_net_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.ln(F.col("c_acctbal") + 2000).alias("y"))
+    return sparse_net.fit(rows, net_features(spark, sf_dir), "c_custkey", "y", 0.01, 0.5)[1]
+
+
+@query("net_scores", f"""WITH {NET_FEATURES},
+t AS (SELECT feature, value, count(*) / (SELECT count(*) FROM customer) AS w FROM g WHERE feature <> 'acct.balance' AND value <> 'n3' GROUP BY 1, 2),
+a AS (SELECT avg(value::DOUBLE) AS m, stddev_pop(value::DOUBLE) AS s FROM g WHERE feature = 'acct.balance'),
+p AS (SELECT c_custkey, max(CASE WHEN feature = 'acct.balance' THEN value::DOUBLE END) AS b, max(CASE WHEN feature = 'mkt.segment' THEN value END) AS seg, max(CASE WHEN feature = 'mkt.nation' THEN value END) AS nat FROM g GROUP BY 1),
+r AS (SELECT c.c_custkey, b, nat, ts.w AS ws, tn.w AS wn, m, s FROM customer c CROSS JOIN a LEFT JOIN p ON p.c_custkey = c.c_custkey
+  LEFT JOIN t ts ON ts.feature = 'mkt.segment' AND ts.value = seg LEFT JOIN t tn ON tn.feature = 'mkt.nation' AND tn.value = nat),
+v AS (SELECT *, CASE WHEN b > 9000 THEN 'out_of_distribution:acct.balance' WHEN nat IS NULL THEN 'out_of_distribution:missing_unobserved:mkt.nation' WHEN wn IS NULL THEN 'out_of_distribution:mkt.nation' END AS violation FROM r)
+SELECT c_custkey, CASE WHEN violation IS NULL THEN round(2.5 + CASE WHEN b IS NULL THEN 0.3 * (100 - m) / s + 0.2 * (1 - 0.25) / 0.5 ELSE 0.3 * (b - m) / s + 0.2 * (0 - 0.25) / 0.5 END + ws + wn, 6) END AS log_price, violation FROM v""")
+def net_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, features = table(spark, sf_dir, "customer"), net_features(spark, sf_dir)
+    balance = features.where("feature = 'acct.balance'").agg(F.avg(F.col("value").cast("double")).alias("mean"), F.stddev_pop(F.col("value").cast("double")).alias("scale"))
+    number = balance.select(F.lit("n:acct.balance").alias("column"), F.lit(0.3).alias("coefficient"), "mean", "scale")
+    absent = balance.select(F.lit("m:acct.balance").alias("column"), F.lit(0.2).alias("coefficient"), F.lit(0.25).alias("mean"), F.lit(0.5).alias("scale"))
+    share = features.where("feature <> 'acct.balance' and value <> 'n3'").groupBy("feature", "value").agg((F.count(F.lit(1)) / rows.count()).alias("coefficient"))
+    kinds = share.select(F.concat(F.lit("c:"), "feature", F.lit("="), "value").alias("column"), "coefficient", F.lit(0.0).alias("mean"), F.lit(1.0).alias("scale"))
+    numeric = F.col("feature") == "acct.balance"
+    about = features.select("feature").distinct().select("feature", numeric.alias("numeric"), F.when(numeric, 100.0).alias("median"), F.when(numeric, 0.0).alias("low"), F.when(numeric, 9000.0).alias("high"), numeric.alias("missing"))
+    found = sparse_net.score(rows, features, "c_custkey", 2.5, number.unionByName(absent).unionByName(kinds), about)
+    return found.select("c_custkey", F.round("log_price", 6).alias("log_price"), "violation")
