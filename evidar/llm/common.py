@@ -42,6 +42,10 @@ def release_caches() -> None:
     _CACHES.clear()
 
 
+#: The temporary folder of a local session whose setting names none: it cannot be set once a session runs.
+_OWN_ROOT: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only a
     local[...] session without one (tests) gets a temporary folder."""
@@ -49,8 +53,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="evidar-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _OWN_ROOT.append("file://" + tempfile.mkdtemp(prefix="evidar-")) if not _OWN_ROOT else None
+        root = _OWN_ROOT[0]
     return f"{root.rstrip('/')}/evidar-{spark.sparkContext.applicationId}"
 
 
@@ -63,7 +67,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(found)] = (found, path)
+    return found
+
+
+#: The tables that written() has made and discard() has not deleted, by identity of their frames.
+_WRITTEN: dict[int, tuple[DataFrame, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what written() has made, once nothing that is still to run reads it."""
+    for df in tables:
+        found = _WRITTEN.pop(id(df), None)
+        if found:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(found[1])
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:

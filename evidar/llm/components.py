@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidar.llm.common import written
+from evidar.llm.common import discard, written
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -15,7 +15,9 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     stars = written(both, "components")
     state = _state(stars)
     for _ in range(rounds):
-        stars = written(_small_star(_large_star(stars)), "components")
+        after = written(_small_star(_large_star(stars)), "components")
+        discard(stars)
+        stars = after
         state, before = _state(stars), state
         if state == before:
             # every edge now leads from a node to its root

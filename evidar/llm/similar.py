@@ -9,13 +9,15 @@ add up to: the generalised pigeonhole principle. What meets is verified by the e
 shingles, in rounds: of each bucket the spanning forests of nearest pairs go first, and where pairs were left
 over those of them that still lie in two groups follow, until there are none. Rows of a bucket too large to be
 compared at once meet by further bits in the first round; from then on all rows outside its largest group are
-compared with all rows of the bucket, in blocks.
+compared with all rows of the bucket, in blocks. So every pair that meets, and differs in no more bits than a
+pair at the similarity would, is verified or lies in one group.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 from hashlib import blake2b
 from itertools import combinations
 
@@ -24,25 +26,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidar.llm.common import free_names, release_caches, written
+from evidar.llm.common import discard, free_names, release_caches, written
 from evidar.llm.components import connected
 from evidar.llm.near_dedup import extract, group_bits, probes
 from evidar.llm.simhash import shingle_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
-#: Chance that a pair at exactly SIMILARITY meets in some partition.
+#: Chance that a pair at exactly SIMILARITY becomes a candidate: that it meets in some partition, times that it differs in few
+#: enough bits of the whole fingerprint.
 RECALL = 0.98
+BITS_CHANCE, BITS_DEVIATIONS = 0.995, 2.58
 WORDS = 8
 #: Partitions that each word of the fingerprint may be dealt into.
 PARTITIONS = (2, 3, 4, 5)
 #: Cost of comparing a candidate, next to that of a row put or probed.
 CANDIDATE_COST = 0.01
-#: Words of the fingerprint that go along with a key, and bits of them in which a candidate may differ:
-#: four standard deviations above what pairs at SIMILARITY do.
-CARRIED = 4
+#: Words of the fingerprint that go along with a key, and of them those by which hot buckets are dealt again.
+CARRIED, AGAIN = WORDS, 4
 #: Forests of nearest pairs taken from a bucket in the first round; in each further round of those it has left, so many times more.
-FORESTS, MORE = 3, 4
+FORESTS, MORE = 3, 8
 SMALL_BUCKET = 48
 #: Rows of a bucket that are compared in one task; of those dealt again in the first round, how many meet the next block too.
 BLOCK, OVERLAP = 1024, 128
@@ -126,6 +129,12 @@ def difference_rate(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def bits_bound(similarity: float) -> int:
+    """Bits of the carried words in which a pair of this similarity differs at most, with a chance of BITS_CHANCE."""
+    rate, bits = difference_rate(similarity), 64 * CARRIED
+    return math.ceil(bits * rate + BITS_DEVIATIONS * math.sqrt(bits * rate * (1 - rate)))
+
+
 def meets(bits: int, threshold: int, rate: float) -> float:
     """Chance that two fingerprints differ in threshold of bits bits at most."""
     return sum(math.comb(bits, k) * rate**k * (1 - rate) ** (bits - k) for k in range(threshold + 1))
@@ -160,7 +169,7 @@ def allocate(n: int, widths: list[int], agree: list[float], rate: float, recall:
     return best[goal][0], list(best[goal][1])
 
 
-def make_plan(n: int, sums: np.ndarray, similarity: float, recall: float = RECALL) -> list[tuple[int, list[int], int]]:
+def make_plan(n: int, sums: np.ndarray, similarity: float, recall: float = RECALL / BITS_CHANCE) -> list[tuple[int, list[int], int]]:
     """(word, bits, threshold) of each partition that is probed."""
     rate, p = difference_rate(similarity), sums[:, :-1, -1] / max(n, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
@@ -206,20 +215,20 @@ def hot_keys(put: DataFrame) -> DataFrame:
 
 
 def first_round(put: DataFrame, hot: DataFrame) -> DataFrame:
-    """The rows by bucket, those of hot buckets by 12 bits of each carried word too instead: that links what is nearly equal."""
+    """The rows by bucket, those of hot buckets by 12 bits more of AGAIN words instead: that links what is nearly equal."""
     words = [f"f{k}" for k in range(CARRIED)]
     plain = put.join(hot, "key", "left_anti").select(F.col("key").alias("part"), "key", "node", F.col("node").alias("root"), F.lit(1).cast("long").alias("asks"), *words)
-    again = [F.xxhash64("key", F.lit(k), F.col(f"f{k}").bitwiseAND(0xFFF)) for k in range(CARRIED)]
+    again = [F.xxhash64("key", F.lit(k), F.col(f"f{k}").bitwiseAND(0xFFF)) for k in range(AGAIN)]
     large = put.join(hot, "key", "left_semi").select(F.explode(F.array(*again)).alias("part"), "key", "node", F.col("node").alias("root"), F.lit(1).cast("long").alias("asks"), *words)
     return plain.unionByName(large)
 
 
-def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame) -> DataFrame:
+def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of these buckets, where they lie in more than one group, each with its group's root. In a bucket of more than
-    BLOCK rows those outside the largest group ask, block by block, all rows, block by block."""
+    BLOCK rows those outside the largest group ask, block by block, all rows, block by block. Also the table that these are read from."""
     roots = labels.select(F.col("node").alias("linked"), F.col("root").alias("known"))
     rows = put.join(keys, "key", "left_semi").join(roots, F.col("node") == F.col("linked"), "left")
-    rows = written(rows.select("key", "node", F.coalesce("known", "node").alias("root"), *(f"f{k}" for k in range(CARRIED))), "near-open")
+    rows = held = written(rows.select("key", "node", F.coalesce("known", "node").alias("root"), *(f"f{k}" for k in range(CARRIED))), "near-open")
     groups = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     sizes = groups.groupBy("key").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
     rows = rows.join(sizes.select("key", "rows", F.col("largest.root").alias("most"), (F.col("rows") - F.col("largest.n")).alias("others")), "key")
@@ -232,7 +241,7 @@ def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame) -> DataFrame
     zero = F.lit(0).cast("long")
     asked = large.withColumn("other", F.explode(F.sequence(zero, asking - 1))).select(*row(part(F.col("other"), own(blocks, 0)), 0))
     ask = large.where("root <> most").withColumn("other", F.explode(F.sequence(zero, blocks - 1))).select(*row(part(own(asking, 1), F.col("other")), 1))
-    return small.select(*row(F.col("key"), 1)).unionByName(asked).unionByName(ask)
+    return small.select(*row(F.col("key"), 1)).unionByName(asked).unionByName(ask), held
 
 
 def candidates(grouped: DataFrame, most_bits: int, layers: int, cut: bool) -> DataFrame:
@@ -388,22 +397,26 @@ def linked(put: DataFrame, most_bits: int, verify: Callable[[DataFrame], DataFra
     """node and root of what verified pairs connect. Ends once every pair that meets in a bucket within most_bits has been
     verified or lies in one group: each round takes more of what the buckets have left."""
     hot = written(hot_keys(put), "near-hot")
-    grouped, layers, links, seen = first_round(put, hot), FORESTS, None, None
+    grouped, read, layers, links, seen = first_round(put, hot), None, FORESTS, [], []
     while True:
-        found = written(candidates(grouped, most_bits, layers, cut=links is None), "near-found")
+        found = written(candidates(grouped, most_bits, layers, cut=not links), "near-found")
+        if read is not None:
+            discard(read)
         pairs = found.where("open is null").select("a", "b")
-        if seen is not None:
-            pairs = written(pairs.join(seen, ["a", "b"], "left_anti"), "near-pairs")
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        new = written(verify(pairs), "near-links")
-        before, links = links, new if links is None else links.unionByName(new)
-        labels = connected(links)
+        for earlier in seen:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        seen.append(written(pairs, "near-pairs"))
+        again = bool(links)
+        links.append(written(verify(seen[-1]), "near-links"))
         keys = found.where("open is not null").select(F.col("open").alias("key")).distinct()
-        keys = written(keys.unionByName(hot) if before is None else keys, "near-keys")
+        keys = written(keys if again else keys.unionByName(hot), "near-keys")
+        discard(found)
+        labels = connected(reduce(DataFrame.unionByName, links))
         if keys.isEmpty():
+            discard(keys, hot, *seen, *links)
             return labels
-        layers *= MORE if before is not None else 1
-        grouped = later_round(put, keys, labels)
+        layers *= MORE if again else 1
+        grouped, read = later_round(put, keys, labels)
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
@@ -422,9 +435,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = written(sketched.groupBy("digest").agg(F.min("uid").alias("node"), least, *words), "near-classes")
     some = classes.where("digest is not null")
     n, sums = bit_sums(some)
-    rate = difference_rate(similarity)
-    most_bits = round(64 * CARRIED * rate + 4 * math.sqrt(64 * CARRIED * rate * (1 - rate)))
     if n > 1:
+        most_bits = bits_bound(similarity)
         put = put_and_probe(some, make_plan(n, sums, similarity))
         labels = linked(put, most_bits, lambda pairs: verified(pairs, docs, sketched, id_col, text_col, width, similarity))
         named = classes.select("digest", "node", "least").join(labels.select(F.col("node").alias("linked"), "root"), F.col("node") == F.col("linked"), "left")

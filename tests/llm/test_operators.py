@@ -470,8 +470,7 @@ def template_rows(n, pairs, seed=5):
 def test_pairs_of_full_buckets_are_found(spark, n):
     """All in one bucket, pairs at 0.8 among template rows: every one of them within the bound of bits is looked at."""
     pairs = 200
-    rate = similar.difference_rate(0.8)
-    most = round(256 * rate + 4 * math.sqrt(256 * rate * (1 - rate)))
+    most = similar.bits_bound(0.8)
     words = template_rows(n, pairs)
     node = np.random.default_rng(1).permutation(n).astype(np.int64)
     frame = pd.DataFrame({"key": 7, "node": node, **{f"f{k}": words[:, k] for k in range(similar.CARRIED)}})
@@ -489,7 +488,7 @@ def test_every_candidate_is_looked_at(spark, monkeypatch):
     monkeypatch.setattr(similar, "OVERLAP", 2)
     monkeypatch.setattr(similar, "SMALL_BUCKET", 4)
     rng = np.random.default_rng(2)
-    words = np.packbits((rng.random((90, 256)) < 0.05).astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    words = np.packbits((rng.random((90, 64 * similar.CARRIED)) < 0.05).astype(np.uint8), axis=1, bitorder="little").view("<i8")
     frame = pd.DataFrame({"key": [1] * 60 + [2] * 12 + [3] * 18, "node": range(90), **{f"f{k}": words[:, k] for k in range(similar.CARRIED)}})
     distance = np.bitwise_count((words[:, None, :] ^ words[None, :, :]).view("<u8")).sum(2)
     same = frame.key.to_numpy()[:, None] == frame.key.to_numpy()[None, :]
