@@ -8,14 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The temporary folder of a local session whose setting names none: it cannot be set once a session runs.
+_OWN_ROOT: list[str] = []
+
+
 def fresh(spark: SparkSession, name: str) -> str:
     """A new path under spark.checkpoint.dir. Only a local[...] session without that setting gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="evidar-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _OWN_ROOT:
+            _OWN_ROOT.append("file://" + tempfile.mkdtemp(prefix="evidar-"))
+        root = _OWN_ROOT[0]
     return f"{root.rstrip('/')}/evidar-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
