@@ -98,3 +98,8 @@ def exactly(a: Any, b: Any) -> bool:
     if isinstance(a, list):
         return len(a) == len(b) and all(map(exactly, a, b))
     return a == b
+
+
+def exactly_equal(a: Column, b: Column) -> Column:
+    """Two VARIANTs equal in value and type, as exactly(): the order of members plays no part, 1 is neither 1.0 nor true. Null equals null."""
+    return (F.schema_of_variant(a).eqNullSafe(F.schema_of_variant(b))) & (F.to_json(a).eqNullSafe(F.to_json(b)))

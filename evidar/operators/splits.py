@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidar.operators.freeze import placed
+
 # Clusters asked for.
 TRAINING_CLUSTERS, HOLDOUT_CLUSTERS = 300, 100
 
@@ -93,3 +95,39 @@ def grouped_folds(rows: DataFrame, group: str, folds: int, name: str = "fold") -
     turn = F.row_number().over(Window.partitionBy("__class", "__slice").orderBy(F.desc("n"), F.xxhash64(group), group))
     dealt = slices.withColumn(name, ((turn - 1 + F.col("__slice")) % folds).cast("int")).select(group, name)
     return rows.join(dealt, group)
+
+
+def _quotas(loads: list[int], size: int, count: int) -> list[int]:
+    """How many of count groups of this size each fold takes if each goes to the lightest fold (of equal ones to the first): the
+    folds fill up to one level, found by bisection, and what is left goes to those at the level in their order."""
+    taken = lambda level: [max(0, -(-(level - x) // size)) for x in loads]  # noqa: E731  so many are given out below the level
+    low, high = min(loads), max(loads) + size * (count + 1)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if sum(taken(middle)) <= count else (low, middle)
+    out = taken(low)
+    left = count - sum(out)
+    for fold, (x, n) in enumerate(zip(loads, out)):
+        if left and x + n * size == low:
+            out[fold] += 1
+            left -= 1
+    return out
+
+
+def greedy_folds(rows: DataFrame, group: str, folds: int, name: str = "fold") -> DataFrame:
+    """Fold of each group as dealing the largest groups first, each to the lightest fold, gives it. Only how many groups there are
+    of each size goes to the driver (no more than the root of twice the rows); groups of one size are ranked by a
+    sort over ranges and take their fold by their rank. Null is a group of its own. Repeated rows count."""
+    sizes = rows.groupBy(F.col(group).alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    dealt = placed(sizes.withColumn("first", -F.col("n")), ["first", "of"])
+    histogram = dealt.groupBy("n").agg(F.count(F.lit(1)).alias("groups")).orderBy(F.desc("n")).collect()
+    loads, before, ranges = [0] * folds, 0, []
+    for size in histogram:
+        for fold, n in enumerate(_quotas(loads, size.n, size.groups)):
+            if n:
+                ranges.append((size.n, fold, before, before + n))
+                before, loads[fold] = before + n, loads[fold] + n * size.n
+    table = rows.sparkSession.createDataFrame(ranges, f"n long, {name} int, low long, high long")
+    # a size has at most as many ranges as there are folds
+    found = dealt.join(table, "n").where((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high"))).select("of", name)
+    return rows.join(found, F.col(group).eqNullSafe(F.col("of"))).drop("of")
