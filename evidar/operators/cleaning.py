@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from evidar.functions.gates import Gate, disposition, fails, ledger_codes, reason_codes
 from evidar.functions.prices import training_line
 from evidar.operators.selection import percentiles
+from evidar.sources.stages import staged
 
 # Fixed values of the outlier rule.
 Z_SCALE, Z_LIMIT, MIN_GROUP = 0.6745, 3.5, 10
@@ -56,7 +57,8 @@ def clean_prices(rows: DataFrame, rule: CleaningRule) -> DataFrame:
     """
     gated = rows.withColumn("__codes", reason_codes(rule.gates) if rule.gates else F.array().cast("array<string>"))
     failed = gated.where(F.size("__codes") > 0)
-    passed = cluster_rank(gated.where(F.size("__codes") == 0), rule.cluster, rule.line, rule.latest)
+    # read by the duplicates, the scored rows and both passes of each percentile
+    passed = staged(cluster_rank(gated.where(F.size("__codes") == 0), rule.cluster, rule.line, rule.latest), "passed-gates")
     duplicates = passed.where("cluster_rank > 1").withColumn(
         "__codes", F.array(F.lit("duplicate_account_cluster"), F.concat(F.lit("cluster_rank_"), F.col("cluster_rank").cast("string"))))
     scored = modified_z(passed.where("cluster_rank = 1"), F.ln(F.col(rule.price)), [rule.line, rule.group])
