@@ -17,6 +17,8 @@ from evidar.sources.stages import staged
 ALPHAS, L1_RATIOS = (0.01, 0.03, 0.1, 0.3, 1.0), (0.1, 0.5, 0.9)
 CI_SEED, CI_DRAWS, STABILITY_SEED, STABILITY_DRAWS = 1729, 400, 20260816, 500
 MIN_LINEAR_ROWS, MIN_TREE_ROWS = 100, 300
+# Lines that models price.
+PRICE_LINES = ("normal_listing", "urgent_sale")
 #: What counts as a number: not the words that a cast would take for one, as NaN and Infinity.
 NUMBER = r"^[ \t]*[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?[ \t]*$"
 
@@ -276,6 +278,38 @@ def ensemble(predictions: DataFrame, row_id: str) -> DataFrame:
                          F.when(F.col("models") > 0, "estimated").otherwise("insufficient_training_data").alias("status"))
 
 
+def model_estimates(rows: DataFrame, predictions: DataFrame, row_id: str, fallback: DataFrame | None = None) -> DataFrame:
+    """row_id, status, low, point, high, models, reasons and comparables of each of rows(row_id, price_line, gate_reasons).
+
+    ineligible_input: the line is none that models price, or a gate has a reason; estimated: a model has a price and an error;
+    else out_of_distribution if a model says so, else insufficient_training_data. predictions: row_id, log_price, mae,
+    train_only (its error was held back by the evaluator and counts as 1), reasons, residual_low and residual_high (of one
+    that is used alone). fallback: row_id and comparables, which stand beside every status."""
+    lines = F.coalesce(F.col("price_line").isin(*PRICE_LINES), F.lit(False))
+    open_ = lines & (F.size(F.coalesce("gate_reasons", F.array().cast("array<string>"))) == 0)
+    error = F.when(F.col("mae") > 0, F.col("mae")).when(F.coalesce("train_only", F.lit(False)), 1.0)
+    given = predictions.withColumn("error", error).withColumn("used", F.col("log_price").isNotNull() & F.col("error").isNotNull())
+    weight = F.when(F.col("used"), 1 / F.col("error"))
+    said = F.when(F.col("log_price").isNull(), F.col("reasons")).when(~F.col("used"), F.array(F.lit("nonpositive_outer_cv_mae")))
+    alone = lambda c: F.max(F.when(F.col("used"), F.col(c)))
+    joined = given.groupBy(row_id).agg(
+        F.count(weight).alias("models"), (F.sum(weight * F.col("log_price")) / F.sum(weight)).alias("log_price"), (F.sum(weight * F.col("error")) / F.sum(weight)).alias("mae"),
+        alone("residual_low").alias("residual_low"), alone("residual_high").alias("residual_high"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(said)))).alias("said"))
+    none = F.array().cast("array<string>")
+    out = rows.join(joined, row_id, "left").withColumn("models", F.when(open_, F.coalesce("models", F.lit(0))).otherwise(0))
+    outside = F.exists(F.coalesce("said", none), lambda r: F.startswith(r, F.lit("out_of_distribution:")))
+    status = F.when(~open_, "ineligible_input").when(F.col("models") > 0, "estimated").when(outside, "out_of_distribution").otherwise("insufficient_training_data")
+    point = F.greatest(F.lit(1.0), F.exp("log_price"))
+    residual = (F.col("models") == 1) & F.col("residual_low").isNotNull() & F.col("residual_high").isNotNull()
+    low = F.when(residual, F.least(point, F.greatest(F.lit(1.0), point + F.col("residual_low")))).otherwise(F.exp(F.col("log_price") - F.col("mae")))
+    high = F.when(residual, F.greatest(point, point + F.col("residual_high"))).otherwise(F.exp(F.col("log_price") + F.col("mae")))
+    reasons = F.when(~lines, F.array(F.lit("unsupported_price_line"))).when(~open_, F.col("gate_reasons")).when(
+        F.col("models") > 0, none).otherwise(F.concat(F.array(F.lit("no_verified_usable_model_artifact")), F.coalesce("said", none)))
+    priced = lambda c: F.when(status == "estimated", F.round(c, 2))
+    out = out.select(row_id, status.alias("status"), priced(low).alias("low"), priced(point).alias("point"), priced(high).alias("high"), "models", reasons.alias("reasons"))
+    return out if fallback is None else out.join(fallback.select(row_id, "comparables"), row_id, "left")
+
+
 def item_values(states: DataFrame, prices: DataFrame, account: str, refit_folds: Column | None = None) -> DataFrame:
     """Tallies of states(account, item_id, state) per item with the difference of mean log prices of owners
     and others; eligible only with 10 owners and 10 missing and at least two refits (none unless given)."""

@@ -151,3 +151,41 @@ def net_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     about = features.select("feature").distinct().select("feature", numeric.alias("numeric"), F.when(numeric, 100.0).alias("median"), F.when(numeric, 0.0).alias("low"), F.when(numeric, 9000.0).alias("high"), numeric.alias("missing"))
     found = sparse_net.score(rows, features, "c_custkey", 2.5, number.unionByName(absent).unionByName(kinds), about)
     return found.select("c_custkey", F.round("log_price", 6).alias("log_price"), "violation")
+
+
+TARGET = {"line": "CASE o_orderkey % 6 WHEN 0 THEN 'verified_sale' WHEN 1 THEN 'urgent_sale' ELSE 'normal_listing' END", "gate": "CASE WHEN o_custkey % 9 = 0 THEN 'currency_must_be_twd' END"}
+GUESS = {
+    "x1": "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE ln(o_totalprice) END", "m1": "CASE WHEN o_orderkey % 5 = 0 THEN 0.0 ELSE 0.25 END", "x2": "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE ln(o_totalprice + 1000) END",
+    "m2": "CAST(NULL AS DOUBLE)", "only2": "o_custkey % 2 = 0", "r1": "CASE WHEN o_orderkey % 8 = 0 THEN 'out_of_distribution:g.a' ELSE 'elastic_scaler_means_missing' END",
+}
+
+
+@query("model_estimates", "WITH t AS (SELECT o_orderkey, " + ", ".join(f"{v} AS {k}" for k, v in (TARGET | GUESS).items()) + """ FROM orders),
+u AS (SELECT *, x1 IS NOT NULL AND m1 > 0 AS u1, x2 IS NOT NULL AND only2 AS u2, line IN ('normal_listing', 'urgent_sale') AS known FROM t),
+w AS (SELECT *, (CASE WHEN u1 THEN 4.0 * x1 ELSE 0 END + CASE WHEN u2 THEN x2 ELSE 0 END) / nullif(CASE WHEN u1 THEN 4.0 ELSE 0 END + CASE WHEN u2 THEN 1.0 ELSE 0 END, 0) AS x,
+  (CASE WHEN u1 THEN 1.0 ELSE 0 END + CASE WHEN u2 THEN 1.0 ELSE 0 END) / nullif(CASE WHEN u1 THEN 4.0 ELSE 0 END + CASE WHEN u2 THEN 1.0 ELSE 0 END, 0) AS m FROM u),
+s AS (SELECT *, CASE WHEN NOT known OR gate IS NOT NULL THEN 'ineligible_input' WHEN u1 OR u2 THEN 'estimated' WHEN x1 IS NULL AND r1 LIKE 'out_of_distribution:%' THEN 'out_of_distribution' ELSE 'insufficient_training_data' END AS status FROM w)
+SELECT o_orderkey, status, CASE WHEN status = 'estimated' THEN round(ln(exp(x)), 6) END AS log_point,
+  CASE WHEN status = 'estimated' THEN CASE WHEN u1 AND NOT u2 THEN -500.0 ELSE round(-m, 6) END END AS reach,
+  CASE WHEN NOT known THEN 'unsupported_price_line' WHEN gate IS NOT NULL THEN gate WHEN u1 OR u2 THEN '' ELSE array_to_string(list_concat(['no_verified_usable_model_artifact'], list_sort(list_distinct(list_filter(
+    [CASE WHEN x1 IS NULL THEN r1 ELSE 'nonpositive_outer_cv_mae' END, CASE WHEN x2 IS NULL THEN 'elastic_prediction_contract_incomplete' ELSE 'nonpositive_outer_cv_mae' END], lambda r: r IS NOT NULL)))), ',') END AS reasons FROM s""")
+def model_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """reach: what the lower bound is below the point, in prices where one model has its own interval and in logs else."""
+    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey", *[f"{v} AS {k}" for k, v in (TARGET | GUESS).items()])
+    c = F.col
+    first = F.struct(c("x1").alias("log_price"), c("m1").cast("double").alias("mae"), F.lit(False).alias("train_only"), F.array("r1").alias("reasons"), F.lit(-500.0).alias("residual_low"), F.lit(700.0).alias("residual_high"))
+    second = F.struct(c("x2").alias("log_price"), c("m2").alias("mae"), c("only2").alias("train_only"), F.array(F.lit("elastic_prediction_contract_incomplete")).alias("reasons"), F.lit(None).cast("double").alias("residual_low"), F.lit(None).cast("double").alias("residual_high"))
+    guesses = rows.select("o_orderkey", F.explode(F.array(first, second)).alias("g")).select("o_orderkey", "g.*")
+    targets = rows.select("o_orderkey", c("line").alias("price_line"), F.array_compact(F.array("gate")).alias("gate_reasons"), "x1", "x2")
+    found = modelling.model_estimates(targets, guesses, "o_orderkey")
+    own = rows.select(c("o_orderkey").alias("k"), (c("x1").isNotNull() & (c("m1") > 0)).alias("u1"), (c("x2").isNotNull() & c("only2")).alias("u2"), "x1", "x2")
+    both = found.join(own, c("o_orderkey") == c("k"))
+    # prices have two places; the logs of the rounded ones are compared with the exact mean where that is sure
+    weight = F.when(c("u1"), 4.0).otherwise(0.0) + F.when(c("u2"), 1.0).otherwise(0.0)
+    exact = (F.when(c("u1"), 4.0 * c("x1")).otherwise(0.0) + F.when(c("u2"), c("x2")).otherwise(0.0)) / F.nullif(weight, F.lit(0.0))
+    near = lambda a, b: F.when(F.abs(a - b) <= 0.0051, b)
+    point = F.ln(near(c("point"), F.exp(exact)))
+    spread = (F.when(c("u1"), 1.0).otherwise(0.0) + F.when(c("u2"), 1.0).otherwise(0.0)) / F.nullif(weight, F.lit(0.0))
+    reach = F.when(c("u1") & ~c("u2"), F.when(F.abs(c("low") - c("point") + 500) <= 0.011, -500.0)).otherwise(F.when(F.abs(c("low") - F.exp(exact - spread)) <= 0.0051, F.round(-spread, 6)))
+    estimated = c("status") == "estimated"
+    return both.select("o_orderkey", "status", F.when(estimated, F.round(point, 6)).alias("log_point"), F.when(estimated, reach).alias("reach"), F.array_join("reasons", ",").alias("reasons"))
