@@ -154,11 +154,15 @@ def portable_score(rows: DataFrame, model: dict) -> Column:
     return out
 
 
-def nested_cv(rows: DataFrame, net: ElasticNet, group: str, folds: int = 5, grid: tuple = tuple((a, l1) for a in ALPHAS for l1 in L1_RATIOS)) -> dict:
+def nested_cv(rows: DataFrame, net: ElasticNet, group: str, folds: int = 5, grid: tuple = tuple((a, l1) for a in ALPHAS for l1 in L1_RATIOS), least: int = MIN_LINEAR_ROWS) -> dict:
     """Mean absolute error on rows that took no part in the choice of the grid point nor in the fit, beside the median's;
     groups stay together. For each fold the point is chosen by squared error over the other folds, one left out at a
-    time, from their sums of products; these come from one pass. alpha and l1_ratio are the choice over all folds."""
+    time, from their sums of products; these come from one pass. alpha and l1_ratio are the choice over all folds, missing
+    values at the medians of all rows. With fewer than least rows nothing is fitted: only rows is told."""
     folded = staged(grouped_folds(rows, group, folds), "cv-folds")
+    n = folded.count()
+    if n < least:
+        return {"rows": n, "alpha": None, "l1_ratio": None, "mae": None, "baseline_mae": None, "beats_baseline": None}
     sums = net.fold_moments(folded, folds)
     outside = folded.agg(*[F.median(F.when(F.col("fold") != k, F.col(c).cast("double"))).alias(f"{c}|{k}") for c in (*net.columns, net.target) for k in range(folds)]).first()
     medians = [{c: float(outside[f"{c}|{k}"] or 0.0) for c in net.columns} for k in range(folds)]
@@ -181,7 +185,7 @@ def nested_cv(rows: DataFrame, net: ElasticNet, group: str, folds: int = 5, grid
                    F.sum(F.when(here, F.abs(F.col(net.target) - F.lit(float(outside[f"{net.target}|{k}"] or 0.0))))).alias(f"b{k}")]
     found = folded.agg(F.count(F.lit(1)).alias("n"), *errors).first()
     mae, base = (sum(found[f"{c}{k}"] or 0.0 for k in every) / found.n for c in "eb")
-    alpha, l1 = choice(list(every), medians[0])
+    alpha, l1 = choice(list(every), net.medians(folded))
     return {"rows": found.n, "alpha": alpha, "l1_ratio": l1, "mae": mae, "baseline_mae": base, "beats_baseline": mae < base}
 
 

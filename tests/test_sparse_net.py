@@ -100,3 +100,12 @@ def test_empty_and_minimum(spark, frames):
     assert frames[1].where("value is not null").agg(sparse_net.minimum_rows(frames[1]).alias("n")).first().n == 100
     wide = spark.range(30).select(F.concat(F.lit("g"), "id", F.lit(".x")).alias("feature"))
     assert wide.agg(sparse_net.minimum_rows(wide).alias("n")).first().n == 300
+
+
+def test_too_few_rows_are_not_fitted(spark):
+    from evidar.operators import modelling
+
+    rows = spark.createDataFrame([(i % 9, float(i), float(i)) for i in range(99)], "g int, x double, y double")
+    found = modelling.nested_cv(rows, modelling.ElasticNet(["x"], "y"), "g", 3)
+    assert found["rows"] == 99 and found["alpha"] is None
+    assert modelling.nested_cv(rows, modelling.ElasticNet(["x"], "y"), "g", 3, least=50)["alpha"] is not None
