@@ -12,7 +12,7 @@ from evidar.sources.tables import table
 
 # Observations made of orders; the expressions mean the same in both dialects.
 SEEN = {
-    "history_id": "o_orderkey", "account_id": "o_custkey % 400", "post_date": "o_orderdate", "price_type": "CASE o_orderkey % 7 WHEN 0 THEN 'reduced' WHEN 1 THEN 'unknown' WHEN 2 THEN ' Asking ' WHEN 3 THEN 'verified_sale' ELSE 'asking' END",
+    "history_id": "lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0')", "account_id": "o_custkey % 400", "post_date": "o_orderdate", "price_type": "CASE o_orderkey % 7 WHEN 0 THEN 'reduced' WHEN 1 THEN 'unknown' WHEN 2 THEN ' Asking ' WHEN 3 THEN 'verified_sale' ELSE 'asking' END",
     "account_type": "CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderpriority END",
     "selected_price_twd": "CAST(CASE WHEN o_orderkey % 53 = 0 THEN 0 WHEN o_orderkey % 59 = 0 THEN NULL WHEN o_orderkey % 61 = 0 THEN o_totalprice * 100000 ELSE o_totalprice END AS DOUBLE)",
     "currency": "CASE WHEN o_orderkey % 23 = 0 THEN 'USD' WHEN o_orderkey % 67 = 0 THEN NULL ELSE 'TWD' END", "currency_verified": "CASE WHEN o_orderkey % 71 = 0 THEN NULL ELSE o_orderkey % 19 <> 0 END",
