@@ -6,9 +6,11 @@ each find them with a known chance. The thresholds (-1: not probed) are those of
 that find a pair at the similarity with a chance of RECALL, by dynamic programming. For certain they
 find every pair that differs in no more bits than the thresholds and the probed partitions, less one,
 add up to: the generalised pigeonhole principle. What meets is verified by the exact similarity of the
-shingles, in rounds: of each bucket the spanning forests of nearest pairs go first, and where pairs were left
-over those of them that still lie in two groups follow, until there are none. Rows of a bucket too large to be
-compared at once meet by further bits in the first round; from then on all rows outside its largest group are
+shingles, in two rounds: of each bucket the spanning forests of nearest pairs go first. Where pairs were left
+over that still lie in two groups, the rows then meet with their shingles, and what they share is counted where
+they meet, for whole blocks by products of matrices: only links leave a task, no more than there are groups, so a
+large group of texts that are nearly similar makes no rows in its square. Rows of a bucket too large to be
+compared at once meet by further bits in the first round; in the second all rows outside its largest group are
 compared with all rows of the bucket, in blocks. So every pair that meets, and differs in no more bits than a
 pair at the similarity would, is verified or lies in one group.
 """
@@ -44,13 +46,18 @@ PARTITIONS = (2, 3, 4, 5)
 CANDIDATE_COST = 0.01
 #: Words of the fingerprint that go along with a key, and of them those by which hot buckets are dealt again.
 CARRIED, AGAIN = WORDS, 4
-#: Forests of nearest pairs taken from a bucket in the first round; in each further round of those it has left, so many times more.
+#: Forests of nearest pairs taken from a bucket in the first round; in each further round, where pairs are verified outside of the
+#: buckets, of those it has left so many times more.
 FORESTS, MORE = 3, 8
 SMALL_BUCKET = 48
 #: Rows of a bucket that are compared in one task; of those dealt again in the first round, how many meet the next block too.
 BLOCK, OVERLAP = 1024, 128
+#: Bytes of shingles in a block.
+BLOCK_BYTES = 8 << 20
 #: Larger buckets are hot.
 HOT_BUCKET = 1024
+#: Columns of the matrices whose product counts what sets share.
+_COLUMNS = 2048
 #: Pairs that a task holds before it thins them.
 _HELD_PAIRS = 1 << 19
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -223,25 +230,36 @@ def first_round(put: DataFrame, hot: DataFrame) -> DataFrame:
     return plain.unionByName(large)
 
 
-def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of these buckets, where they lie in more than one group, each with its group's root. In a bucket of more than
-    BLOCK rows those outside the largest group ask, block by block, all rows, block by block. Also the table that these are read from."""
+def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame, sets: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of these buckets, where they lie in more than one group, each with its group's root and, with sets, its shingles. In a
+    bucket of more than a block those outside the largest group ask, block by block, all rows, block by block. A block has about
+    BLOCK rows at most, and BLOCK_BYTES of shingles. Also the tables that these are read from."""
     roots = labels.select(F.col("node").alias("linked"), F.col("root").alias("known"))
     rows = put.join(keys, "key", "left_semi").join(roots, F.col("node") == F.col("linked"), "left")
-    rows = held = written(rows.select("key", "node", F.coalesce("known", "node").alias("root"), *(f"f{k}" for k in range(CARRIED))), "near-open")
-    groups = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    sizes = groups.groupBy("key").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    rows = rows.join(sizes.select("key", "rows", F.col("largest.root").alias("most"), (F.col("rows") - F.col("largest.n")).alias("others")), "key")
-    blocks, asking = (F.ceil(F.col(c) / F.lit(BLOCK)) for c in ("rows", "others"))
-    part = lambda a, b: F.xxhash64("key", a, b)
-    own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n)
     words = [f"f{k}" for k in range(CARRIED)]
+    rows = written(rows.select("key", "node", F.coalesce("known", "node").alias("root"), *words), "near-open")
+    held, bytes_ = [rows], F.lit(0).cast("long")
+    if sets is not None:
+        several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        rows = rows.join(several, "key", "left_semi")
+        held.append(written(sets(rows.select("node").distinct()), "near-shingles"))
+        rows, bytes_ = rows.join(held[1].select("node", "size"), "node"), 8 * F.col("size")
+    groups = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_).alias("bytes"))
+    sizes = groups.groupBy("key").agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "root", "bytes")).alias("largest"),
+                                      F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    blocks = lambda n, size: F.greatest(F.ceil(n / F.lit(BLOCK)), F.ceil(size / F.lit(BLOCK_BYTES)))
+    sizes = sizes.select("key", F.col("largest.root").alias("most"), blocks(F.col("rows"), F.col("bytes")).alias("blocks"),
+                         blocks(F.col("rows") - F.col("largest.n"), F.col("bytes") - F.col("largest.bytes")).alias("asking"))
+    rows = rows.join(sizes, "key")
+    part = lambda a, b: F.xxhash64("key", a, b)
+    own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n))
     row = lambda part, asks: [part.alias("part"), "key", "node", "root", F.lit(asks).cast("long").alias("asks"), *words]
-    small, large = rows.where(F.col("rows") <= BLOCK), rows.where(F.col("rows") > BLOCK)
+    small, large = rows.where("blocks = 1"), rows.where("blocks > 1")
     zero = F.lit(0).cast("long")
-    asked = large.withColumn("other", F.explode(F.sequence(zero, asking - 1))).select(*row(part(F.col("other"), own(blocks, 0)), 0))
-    ask = large.where("root <> most").withColumn("other", F.explode(F.sequence(zero, blocks - 1))).select(*row(part(own(asking, 1), F.col("other")), 1))
-    return small.select(*row(F.col("key"), 1)).unionByName(asked).unionByName(ask), held
+    asked = large.withColumn("other", F.explode(F.sequence(zero, F.col("asking") - 1))).select(*row(part(F.col("other"), own("blocks", 0)), 0))
+    ask = large.where("root <> most").withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1))).select(*row(part(own("asking", 1), F.col("other")), 1))
+    dealt = small.select(*row(F.col("key"), 1)).unionByName(asked).unionByName(ask)
+    return dealt if sets is None else dealt.join(held[1].select("node", "shingles"), "node"), held
 
 
 def candidates(grouped: DataFrame, most_bits: int, layers: int, cut: bool) -> DataFrame:
@@ -321,6 +339,107 @@ def _pairs(rows: np.ndarray, most_bits: int, layers: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64())] * 2 + [pa.array(keys)], ["a", "b", "open"])
 
 
+def settled(grouped: DataFrame, most_bits: int, similarity: float) -> DataFrame:
+    """a, b: links of the groups in each part, as many as connect what pairs within most_bits connect whose shingles have a Jaccard
+    similarity of at least similarity. Every such pair of which one asks is verified here, unless it lies in one group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+            if held and part[0] != held[0].column(0)[0].as_py():
+                cuts = np.r_[0, cuts]
+            at = 0
+            for cut in cuts.tolist():
+                yield from _links([*held, batch.slice(at, cut - at)], most_bits, similarity)
+                held, at = [], cut
+            held.append(batch.slice(at))  # the last part may go on
+        if held:
+            yield from _links(held, most_bits, similarity)
+
+    dealt = grouped.select(*_GROUPED, "shingles").repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _links(batches: list[pa.RecordBatch], most_bits: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Of one part."""
+    rows = np.concatenate([np.stack([c.to_numpy() for c in b.columns[: len(_GROUPED)]], 1) for b in batches])
+    node, root, asks = rows[:, 2], rows[:, 3], rows[:, 4] > 0
+    f = np.ascontiguousarray(rows[:, 5:]).view(np.uint64)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for b in batches for x in b.column(len(_GROUPED))]
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    asking, asked = np.flatnonzero(asks), np.flatnonzero(~asks)
+    whole = not len(asked)  # all ask each other
+    asked = asking if whole else asked
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for at in range(0, len(asking), 64):
+        i = asking[at : at + 64, None]
+        ok = (root[i] != root[asked]) & (np.minimum(size[i], size[asked]) >= similarity * np.maximum(size[i], size[asked]) - 1e-9)
+        if whole:
+            ok &= i < asked
+        x, y = np.nonzero(ok)
+        x, y = i[x, 0], asked[y]
+        near = np.bitwise_count(f[x] ^ f[y]).sum(1, dtype=np.int64) <= most_bits
+        found.append((x[near], y[near]))
+    i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    if not len(i):
+        return
+    both = shared(sets, i, j)
+    hit = reaches(both, size[i] + size[j], similarity)
+    i, j = i[hit], j[hit]
+    if len(i):
+        chosen, _ = forests(i, j, np.zeros(len(i), np.int64), np.unique(root, return_inverse=True)[1], 1)
+        i, j = node[i[chosen]], node[j[chosen]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], ["a", "b"])
+
+
+def reaches(both, total, similarity: float):
+    """Whether sets that share so many elements of their sizes' total have a Jaccard similarity of at least similarity."""
+    return both >= similarity * (total - both) - 1e-9
+
+
+def shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many elements the sets of each pair i, j share: pair by pair, or by matrices of the elements that come more than once,
+    whatever costs less."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    pairwise = int((size[i] + size[j] + 1000).sum())  # costs in units of an element merged
+    rows = np.unique(np.concatenate((i, j)))
+    if pairwise > 10 * size[rows].sum():
+        left, right = np.unique(i), np.unique(j)
+        _, column, times = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True, return_counts=True)
+        column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]
+        width = int((times > 1).sum())
+        if pairwise > len(left) * len(right) * width // 100:
+            order = np.argsort(column, kind="stable")
+            order = order[np.searchsorted(column[order], 0) :]
+            owner, column = np.repeat(rows, size[rows])[order], column[order]
+            both = np.zeros((len(left), len(right)))
+            for at in range(0, width, _COLUMNS):
+                some = slice(*np.searchsorted(column, (at, at + _COLUMNS)))
+                x, y = (_cells(side, owner[some], column[some] - at) for side in (left, right))
+                both += x @ y.T
+            return both[np.searchsorted(left, i), np.searchsorted(right, j)].astype(np.int64)
+    return np.fromiter((_common(sets[a], sets[b]) for a, b in zip(i.tolist(), j.tolist())), np.int64, len(i))
+
+
+def _cells(side: np.ndarray, owner: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """1 where a row of side owns a column."""
+    out = np.zeros((len(side), _COLUMNS), np.float32)
+    at = np.minimum(np.searchsorted(side, owner), len(side) - 1)
+    own = side[at] == owner
+    out[at[own], column[own]] = 1
+    return out
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many elements two ascending sets share."""
+    z = np.sort(np.concatenate((x, y)), kind="stable")
+    return int((z[1:] == z[:-1]).sum())
+
+
 def forests(i: np.ndarray, j: np.ndarray, d: np.ndarray, vertex: np.ndarray, layers: int) -> tuple[np.ndarray, np.ndarray]:
     """The edges of a spanning forest of nearest pairs, of one of what is left, and so on; and what is left of all. vertex: of
     each row. Pairs that come again later are the ones chosen now or are left over again."""
@@ -364,10 +483,10 @@ def _joined(part: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return name[part]
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    """The pairs a, b of nodes whose distinct shingles have a Jaccard similarity of at least similarity."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-    keys = sketched.join(nodes, F.col("uid") == F.col("n"), "left_semi").select("uid", F.col("id").alias("of_id"), "text_key")
+def shingle_sets(nodes: DataFrame, docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """node, size, shingles (the distinct ones, ascending) of each node n."""
+    n = nodes.columns[0]
+    keys = sketched.join(nodes, F.col("uid") == nodes[n], "left_semi").select("uid", F.col("id").alias("of_id"), "text_key")
     given = docs.select(docs[id_col].alias("id"), _text_key(docs[text_col]).alias("key"), docs[text_col].alias("text"))
     texts = given.join(keys, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("text_key"))).select("uid", "text").dropDuplicates(["uid"])
 
@@ -375,33 +494,41 @@ def verified(pairs: DataFrame, docs: DataFrame, sketched: DataFrame, id_col: str
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [distinct_shingles(t.as_py(), width).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
+                found = [distinct_shingles(t.as_py(), width) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
+                                                 ["node", "size", "shingles"])
+
+    return texts.mapInArrow(shingles, "node long, size long, shingles binary")
+
+
+def verified(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """The pairs a, b of nodes whose distinct shingles have a Jaccard similarity of at least similarity."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+                keep.append(reaches(_common(x, y), len(x) + len(y), similarity))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = written(texts.mapInArrow(shingles, "node long, shingles binary"), "near-shingles")
+    sets = written(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "near-shingles")
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def linked(put: DataFrame, most_bits: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(put: DataFrame, most_bits: int, verify: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame] | None = None,
+           similarity: float = SIMILARITY) -> DataFrame:
     """node and root of what verified pairs connect. Ends once every pair that meets in a bucket within most_bits has been
-    verified or lies in one group: each round takes more of what the buckets have left."""
+    verified or lies in one group. sets gives node, size and shingles of nodes: with it, what the buckets have left after the first
+    round is verified where it meets, by its similarity, so that a group makes no more rows than it has members. Without it pairs are
+    told by verify alone, and each round takes more of what the buckets have left."""
     hot = written(hot_keys(put), "near-hot")
-    grouped, read, layers, links, seen = first_round(put, hot), None, FORESTS, [], []
+    grouped, read, layers, links, seen = first_round(put, hot), [], FORESTS, [], []
     while True:
         found = written(candidates(grouped, most_bits, layers, cut=not links), "near-found")
-        if read is not None:
-            discard(read)
+        discard(*read)
         pairs = found.where("open is null").select("a", "b")
         for earlier in seen:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
@@ -412,7 +539,12 @@ def linked(put: DataFrame, most_bits: int, verify: Callable[[DataFrame], DataFra
         keys = written(keys if again else keys.unionByName(hot), "near-keys")
         discard(found)
         labels = connected(reduce(DataFrame.unionByName, links))
-        if keys.isEmpty():
+        if not keys.isEmpty() and sets is not None:
+            grouped, read = later_round(put, keys, labels, sets)
+            links.append(written(settled(grouped, most_bits, similarity), "near-links"))
+            discard(*read)
+            labels = connected(reduce(DataFrame.unionByName, links))
+        if keys.isEmpty() or sets is not None:
             discard(keys, hot, *seen, *links)
             return labels
         layers *= MORE if again else 1
@@ -438,7 +570,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if n > 1:
         most_bits = bits_bound(similarity)
         put = put_and_probe(some, make_plan(n, sums, similarity))
-        labels = linked(put, most_bits, lambda pairs: verified(pairs, docs, sketched, id_col, text_col, width, similarity))
+        sets = lambda nodes: shingle_sets(nodes, docs, sketched, id_col, text_col, width)
+        labels = linked(put, most_bits, lambda pairs: verified(pairs, sets, similarity), sets, similarity)
         named = classes.select("digest", "node", "least").join(labels.select(F.col("node").alias("linked"), "root"), F.col("node") == F.col("linked"), "left")
     else:
         named = classes.select("digest", "node", "least", F.lit(None).cast("long").alias("root"))

@@ -508,6 +508,58 @@ def test_every_candidate_is_looked_at(spark, monkeypatch):
     assert set(rest) <= set(looked)
 
 
+@pytest.mark.parametrize("block, size", [(1024, 8 << 20), (40, 8 << 20), (1024, 100_000)])
+def test_a_group_that_is_nearly_similar_makes_no_rows_in_its_square(spark, monkeypatch, block, size):
+    """Texts of one template at 0.7 to 0.8, in one bucket, and some pairs at 0.8 and more among them."""
+    monkeypatch.setattr(similar, "HOT_BUCKET", block)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    monkeypatch.setattr(similar, "BLOCK_BYTES", size)
+    rng, base, texts, words = np.random.default_rng(3), [f"w{k}" for k in range(400)], [], []
+    for i in range(300):
+        if i % 20 != 19:
+            words = list(base)
+            for k in rng.choice(400, 6, replace=False):
+                words[k] = f"own{i}x{k}"
+        else:  # one more word changed than in the text before
+            words[200] = f"own{i}"
+        texts.append(" ".join(words))
+    sets = [set(similar.distinct_shingles(t).tolist()) for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = np.stack([similar.wide_fingerprint(similar.distinct_shingles(t)) for t in texts]).view("<i8")
+    put = spark.createDataFrame(pd.DataFrame({"key": 7, "node": range(300), **{f"f{k}": prints[:, k] for k in range(similar.CARRIED)}}))
+    sketched = similar.sketches(rows, "doc_id", "text", 5).withColumn("uid", F.col("id"))
+    of = lambda nodes: similar.shingle_sets(nodes, rows, sketched, "doc_id", "text", 5)
+    made, given = [], similar.written
+
+    def counted(df, name):
+        found = given(df, name)
+        made.append((name, found.count()))
+        return found
+
+    monkeypatch.setattr(similar, "written", counted)
+    most = 64 * similar.CARRIED  # every pair is looked at
+    labels = {r.node: r.root for r in similar.linked(put, most, lambda pairs: similar.verified(pairs, of, 0.8), of, 0.8).collect()}
+    root = list(range(300))
+    pairs = [(i, j) for i in range(300) for j in range(i + 1, 300) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for i, j in pairs:
+        low, high = sorted((root[i], root[j]))
+        root = [low if r == high else r for r in root]
+    assert 15 <= len(pairs) < 1000 and len(set(root)) > 100
+    assert [labels.get(i, i) for i in range(300)] == root
+    assert max(n for _, n in made) <= 300 * max(similar.FORESTS * similar.AGAIN, 300 // block + 1)
+
+
+def test_shared_elements(monkeypatch):
+    monkeypatch.setattr(similar, "_COLUMNS", 16)
+    rng = np.random.default_rng(2)
+    for high, few in ((100, False), (100, True), (1 << 62, False)):
+        sets = [np.unique(rng.integers(0, high, int(rng.integers(1, 60)))).astype(np.uint64) for _ in range(80)]
+        i, j = np.nonzero(np.arange(80)[:, None] < np.arange(80))
+        if few:
+            i, j = i[::500], j[::500]
+        assert similar.shared(sets, i, j).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+
+
 def test_thresholds_of_the_stage_find_pairs():
     rate = similar.difference_rate(0.8)
     for n in (10, 10**5, 10**8, 10**11):
