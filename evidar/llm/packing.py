@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
 #: Bytes of words, and of pre-tokens, whose ids a worker holds.
-CACHED_BYTES = 24 << 20
+CACHED_BYTES = 40 << 20
 #: Characters whose ids are found together.
 GROUP_CHARS = 1 << 18
 BIN = 8
@@ -50,17 +49,21 @@ class Encoder:
 
     def _pre_tokens(self, tokens: list[str]) -> list[bytes]:
         """Of pre-tokens, by the library's model alone: each byte as its letter."""
-        merge, out = self.library.model.tokenize, []
+        merge, ids, ends = self.library.model.tokenize, [], []
         for token in tokens:
-            found = merge(token if token.isascii() and token.isprintable() else token.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
-            out.append(pack_ids(f"<{len(found)}I", *[t.id for t in found]))
-        return out
+            ids += [t.id for t in merge(token if token.isascii() and token.isprintable() else token.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))]
+            ends.append(4 * len(ids))
+        flat = np.array(ids, "<u4").tobytes()
+        return [flat[i:j] for i, j in zip([0, *ends], ends)]
 
     def words(self, words: list[str]) -> list[bytes]:
-        parts = [None if "<|" in w else self.table.pre_tokens(w) for w in words]
-        self.known.learn({t for p in parts if p is not None for t in p})
+        # what is one pre-token, lower-case, is named by a string, the others by a list
+        parts = [w.lower() if w.isascii() and w.isalpha() else None if "<|" in w else self.table.pre_tokens(w) for w in words]
+        new = {p for p in parts if type(p) is str}
+        new.update(t for p in parts if type(p) is list for t in p)
+        self.known.learn(new)
         get = self.known.__getitem__
-        return [self._ids(w) if p is None else get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for w, p in zip(words, parts)]
+        return [get(p) if type(p) is str else self._ids(w) if p is None else get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for w, p in zip(words, parts)]
 
 
 def cut(texts: list[str | None], path: str, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:

@@ -54,7 +54,16 @@ class WordCache(dict):
         values = self.resolve(new)
         self.update(zip(new, values))
         # an entry of the table, and the objects of word and value
-        self.held += 60 * len(new) + sum(map(getsizeof, new)) + sum(map(getsizeof, values))
+        self.held += 60 * len(new) + _held(new) + _held(values)
+
+
+def _held(objects: list) -> int:
+    """About the bytes that they take. Of strings and bytes all at once: asking each costs as much as looking it up."""
+    if isinstance(objects[0], str):
+        return getsizeof("") * len(objects) + len("".join(objects).encode("utf-8", "surrogatepass"))
+    if isinstance(objects[0], bytes):
+        return getsizeof(b"") * len(objects) + sum(map(len, objects))
+    return sum(map(getsizeof, objects))
 
 
 def grouped(texts: list[str | None], size: int = CHUNK_CHARS) -> Iterator[tuple[list[tuple[int, list[str]]], set[str]]]:

@@ -280,6 +280,23 @@ def test_large_members_and_lots(monkeypatch):
 # 4 packing
 
 
+def test_ids_of_words_and_what_the_cache_holds(corpus, monkeypatch):
+    path = public_tokenizers.path(packing.VOCABULARY)
+    encoder, asked = packing.Encoder(path), []
+    given = sorted({w for r in list(corpus.values())[:40] for w in words.split_words(r.text or "")} | {w for t in TEXTS for w in words.split_words(t or "")} | {"Abc", "ABC", "don't", "a\ud800"[:1], "é\x01b", "K\u212a"})
+    expected = [np.array(encoder.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in given]
+    assert encoder.words(given) == expected
+    # words of letters alone need no split into pre-tokens
+    split = encoder.table.pre_tokens
+    monkeypatch.setattr(encoder.table, "pre_tokens", lambda w: asked.append(w) or split(w))
+    assert encoder.words(given) == expected and asked == [w for w in given if not (w.isascii() and w.isalpha()) and "<|" not in w]
+    for values in ([b"1234"] * 3, [7] * 3):
+        cache = words.WordCache(lambda found: values[: len(found)])
+        cache.learn({"abc", "é", "日本"})
+        exact = 180 + sum(map(words.getsizeof, ("abc", "é", "日本"))) + sum(map(words.getsizeof, values))
+        assert 0.8 * exact < cache.held < 1.2 * exact
+
+
 def test_pieces_and_plan(spark, docs, empty, corpus):
     from tokenizers import Tokenizer
 
