@@ -243,7 +243,9 @@ def later_round(put: DataFrame, keys: DataFrame, labels: DataFrame, sets: Callab
         several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
         rows = rows.join(several, "key", "left_semi")
         held.append(written(sets(rows.select("node").distinct()), "near-shingles"))
-        rows, bytes_ = rows.join(held[1].select("node", "size"), "node"), 8 * F.col("size")
+        # read four times from here on, so it is joined once
+        rows, bytes_ = written(rows.join(held[1].select("node", "size"), "node"), "near-sized"), 8 * F.col("size")
+        held.append(rows)
     groups = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_).alias("bytes"))
     sizes = groups.groupBy("key").agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "root", "bytes")).alias("largest"),
                                       F.count(F.lit(1)).alias("groups")).where("groups > 1")
