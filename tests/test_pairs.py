@@ -26,3 +26,38 @@ def test_joined_codes_are_the_codes(spark):
     gates = [("less", F.col("a") < F.col("b")), ("odd", F.col("a") % 2 == 1), ("same", F.col("a") == F.col("b"))]
     got = rows.select(joined_codes(gates).alias("x"), F.array_join(reason_codes(gates), ",").alias("y")).collect()
     assert [r.x for r in got] == [r.y for r in got] == ["less,odd", "less,odd,same", "less,odd,same", "odd,same", ""]
+
+
+def test_overlaps_of_a_market_stand_beside_its_pairs(spark, monkeypatch):
+    monkeypatch.setattr(estimator, "BLOCK", 4)
+    market = {i: "ab"[i % 2] for i in range(40)}
+    sets = {i: {j for j in range(12) if (i * 7 + j * j) % 5 < 2} for i in range(36)}  # the last four have none
+    own = spark.createDataFrame(list(market.items()), "id long, market string")
+    given = spark.createDataFrame([(i, j, market[i]) for i, s in sets.items() for j in s], "owner long, item long, market string")
+    overlaps = estimator.market_overlaps(given, F.col("owner") % 4 == 0, "owner", "item", "market")
+    targets = own.where("id % 4 = 0").select(F.col("id").alias("t_id"), F.col("market").alias("t_market"))
+    pairs = estimator.market_pairs(targets, own, ("t_market", "market"), ("t_id", "id"), overlaps).where("t_id <> id")
+    assert pairs.columns == ["t_id", "t_market", "id", "market", "jaccard"]
+    share = lambda a, b: len(a & b) / len(a | b) if a & b else 0.0
+    assert {(r.t_id, r.id): r.jaccard for r in pairs.collect()} == {
+        (a, b): share(sets.get(a, set()), sets.get(b, set())) for a in market if a % 4 == 0 for b in market if a != b and market[a] == market[b]}
+
+
+def test_no_pair_is_shuffled(spark):
+    """The plan of the weighted pairs joins them with nothing more once they are made."""
+    from evidar.plans import match_queries
+
+    plan = match_queries.weighted_similarity(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [x.lstrip(" :+-") for x in plan.splitlines()]
+    assert [x for x in lines if x.startswith("Join")][0].startswith("Join Inner") and sum(x.startswith("RepartitionByExpression") for x in lines) == 2
+    above = lines[: next(i for i, x in enumerate(lines) if x.startswith("Join"))]
+    assert all(x.startswith("Project") for x in above)
+
+
+def test_a_total_that_can_be_enough_is_never_left_out(spark):
+    from evidar.functions import similarity as sim
+
+    rows = spark.createDataFrame([(k / 100000, 0.39999 + k / 10000000) for k in range(2000)], "a double, b double")
+    dimensions, weights = {"a": F.col("a"), "b": F.col("b")}, {"a": 30, "b": 70}
+    scored = rows.select(sim.total(sim.weighted(dimensions, weights)).alias("score"), sim.may_total(dimensions, weights, 28.3).alias("may"))
+    assert scored.where("score >= 28.3 and not may").count() == 0 and scored.where("score >= 28.3").count() > 0 and scored.where("not may").count() > 0
