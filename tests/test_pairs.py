@@ -61,3 +61,13 @@ def test_a_total_that_can_be_enough_is_never_left_out(spark):
     dimensions, weights = {"a": F.col("a"), "b": F.col("b")}, {"a": 30, "b": 70}
     scored = rows.select(sim.total(sim.weighted(dimensions, weights)).alias("score"), sim.may_total(dimensions, weights, 28.3).alias("may"))
     assert scored.where("score >= 28.3 and not may").count() == 0 and scored.where("score >= 28.3").count() > 0 and scored.where("not may").count() > 0
+
+
+def test_whole_values_are_not_rounded_anew(spark):
+    from evidar.functions import similarity as sim
+
+    rows = spark.createDataFrame([(0.0,), (1.0,), (-0.0,), (0.123455,), (0.00000499,), (float("nan"),), (None,), (1 / 3,)], "a double")
+    got = rows.select(sim.weighted({"a": F.col("a")}, {"a": 30})["a"].alias("x"), F.bround(F.col("a") * 30.0, 4).alias("y"))
+    assert got.where("x is distinct from y").count() == 0
+    plan = rows.select(sim.weighted({"a": F.col("a")}, {"a": 30})["a"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in plan.lower()
