@@ -71,3 +71,17 @@ def test_whole_values_are_not_rounded_anew(spark):
     assert got.where("x is distinct from y").count() == 0
     plan = rows.select(sim.weighted({"a": F.col("a")}, {"a": 30})["a"])._jdf.queryExecution().optimizedPlan().toString()
     assert "rint" in plan.lower()
+
+
+def test_descriptions_as_strings_are_those_of_arrays(spark):
+    """Explanations of many pairs make no arrays."""
+    from evidar.functions import similarity as sim
+    from evidar.plans import match_queries
+
+    rows = spark.createDataFrame([(a / 4, b / 4) for a in range(5) for b in range(5)] + [(None, 0.9)], "a double, b double")
+    parts, flags, weights = {"a": F.col("a") * 30, "b": F.col("b") * 70}, {"a": F.lit(True), "b": F.col("a") > 0.3}, {"a": 30, "b": 70}
+    arrays, strings = sim.describe(parts, flags, weights, ("a",)), sim.describe(parts, flags, weights, ("a",), ",")
+    got = rows.select(*[F.array_join(v, ",").alias(f"{k}_x") for k, v in arrays.items()], *[v.alias(f"{k}_y") for k, v in strings.items()]).collect()
+    assert all(r[f"{k}_x"] == r[f"{k}_y"] for r in got for k in arrays) and len({tuple(r) for r in got}) > 6
+    plan = match_queries.explain_dims(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "concat_ws" in plan
