@@ -1,14 +1,16 @@
 """Dictionaries of several catalogs in texts, as rows: alias tables, occurrences, choice among overlaps, evidence, sidecar.
 
 Occurrences are rows (id, source, start, stop, alias, before). A dictionary of bounded size goes to each task as one
-automaton; a larger one is dealt by its keys' first characters and joined with the texts' positions. Overlaps are
+automaton; of a larger one a filter does, and the places that it lets through are joined with the keys. Overlaps are
 settled within islands of occurrences that touch each other, so a long text is many small groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +25,9 @@ SIDECAR_WINDOW, VECTOR_WINDOW = 4, 6
 
 #: Characters of all keys up to which a dictionary goes to every task.
 BROADCAST_CHARS = 4 << 20
-#: First characters by which larger dictionaries are dealt, and characters of a text whose positions are made at once.
-DEALT_BY, STRIDE = 2, 2048
+#: Of larger dictionaries: characters of the shortest key, characters of texts looked at together, bits of the filter at most (as a power of
+#: two), and the base of the hashes.
+DEALT_BY, STRIDE, FILTER_BITS, ODD = 2, 1 << 19, 27, 0x5851F42D4C957F2D
 _HIT = "struct<start:int,stop:int,alias:string,before:string>"
 
 
@@ -66,40 +69,92 @@ def _automaton_hits(texts: DataFrame, keys: list[str], window: int) -> DataFrame
             automaton.add_word(key, len(key))
         automaton.make_automaton()
         for batch in batches:
-            yield batch.map(lambda t: [(e + 1 - n, e + 1, t[e + 1 - n : e + 1], t[max(0, e + 1 - n - window) : e + 1 - n]) for e, n in automaton.iter(t)] if t else [])
+            yield batch.map(lambda t: [(e + 1 - n, e + 1, t[e + 1 - n : e + 1], t[max(0, e + 1 - n - window) : e + 1 - n]) for e, n in automaton.iter(t)] if t and len(automaton) else [])
 
     return texts.select("id", "source", F.explode(run(F.col("text"))).alias("hit")).select("id", "source", "hit.*")
 
 
-def _dealt_hits(texts: DataFrame, keys: DataFrame, longest: int, window: int) -> DataFrame:
-    """Positions of the texts joined with the keys that begin alike. A text is cut in strides that overlap by the longest key and
-    the window, so a position carries a short string and not its text."""
-    strides = texts.select("id", "source", "text", F.explode(F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(STRIDE))).alias("base"))
-    low = F.greatest(F.col("base") - window, F.lit(0))
-    part = strides.select("id", "source", "base", low.alias("low"), F.substring("text", low + 1, F.col("base") - low + STRIDE + longest).alias("part"))
-    at = F.explode(F.sequence(F.col("base"), F.col("base") + STRIDE - 1)).alias("start")
-    here = part.select("id", "source", "base", "low", "part", at).where(F.col("start") - F.col("low") < F.length("part"))
-    offset = F.col("start") - F.col("low")
-    here = here.select("id", "source", "start", F.substring("part", offset + 1, F.lit(longest)).alias("said"),
-                       F.substring("part", F.greatest(offset - window, F.lit(0)) + 1, F.least(offset, F.lit(window))).alias("before"))
-    dealt = keys.withColumn("deal", F.substring("alias", 1, DEALT_BY))
-    return here.withColumn("deal", F.substring("said", 1, DEALT_BY)).join(dealt, "deal").where(F.startswith("said", F.col("alias"))).select(
-        "id", "source", "start", (F.col("start") + F.length("alias")).alias("stop"), "alias", "before")
+def _hashes(codes: np.ndarray) -> np.ndarray:
+    """Sums of the code points times powers of ODD before each place: two of them make the hash of what stands between."""
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes.astype(np.uint64) * _powers(ODD, len(codes)), out=sums[1:])
+    return sums
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.append(np.uint64(1), np.full(max(n - 1, 0), base, np.uint64)), dtype=np.uint64)[:n]
+
+
+def _bits(sums: np.ndarray, length: int, bits: int) -> np.ndarray:
+    """For each place where so many characters stand, their bit of a filter of 2**bits."""
+    n = len(sums) - length
+    own = (sums[length:] - sums[:n]) * _powers(pow(ODD, -1, 1 << 64), len(sums))[:n]
+    own = (own ^ (own >> np.uint64(31)) ^ np.uint64(length)) * np.uint64(0x9E3779B97F4A7C15)
+    return own >> np.uint64(64 - bits)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each key, summed up in each task: what goes to the driver is the filter at most."""
+
+    @F.pandas_udf("long")
+    def bit(alias: pd.Series) -> pd.Series:
+        return alias.map(lambda a: int(_bits(_hashes(_codes(a)), len(a), bits)[0]))
+
+    held = keys.select(bit(F.col("alias")).alias("bit")).groupBy(F.shiftright("bit", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(bit & 7 AS int))")).alias("own"))
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for part in held.toLocalIterator():
+        out[part.byte] = part.own
+    return out
+
+
+def _dealt_hits(texts: DataFrame, keys: DataFrame, n: int, lengths: list[int], window: int) -> DataFrame:
+    """A filter with a bit for each key goes to every task, of bounded size: a full one lets more through and loses nothing. Places
+    of a text whose characters may be a key are joined with the keys; no other place leaves its task."""
+    bits = min(max(10, (16 * n).bit_length()), FILTER_BITS)
+    given = texts.sparkSession.sparkContext.broadcast(_filter(keys, bits))
+
+    @F.pandas_udf(f"array<{_HIT}>")
+    def run(batch: pd.Series) -> pd.Series:
+        held, out, at = given.value, [], 0
+        while at < len(batch):
+            some, size = [], 0
+            while at < len(batch) and (not some or size + len(batch.iloc[at]) <= STRIDE):
+                some.append(batch.iloc[at])
+                size, at = size + len(some[-1]), at + 1
+            ends = np.cumsum([len(t) for t in some])
+            sums, found = _hashes(_codes("".join(some))), [[] for _ in some]
+            for length in lengths:
+                if length < len(sums):
+                    bit = _bits(sums, length, bits)
+                    places = np.flatnonzero(held[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                    of = np.searchsorted(ends, places, "right")
+                    inside = places + length <= ends[of]
+                    for k, place in zip(of[inside].tolist(), places[inside].tolist()):
+                        t, start = some[k], place - int(ends[k]) + len(some[k])
+                        found[k].append((start, start + length, t[start : start + length], t[max(0, start - window) : start]))
+            out += found
+        return pd.Series(out, dtype=object)
+
+    maybe = texts.select("id", "source", F.explode(run(F.col("text"))).alias("hit")).select("id", "source", "hit.*")
+    return maybe.join(keys, "alias", "left_semi").select("id", "source", "start", "stop", "alias", "before")
 
 
 def occurrences(texts: DataFrame, aliases: DataFrame, window: int = VECTOR_WINDOW, most: int = BROADCAST_CHARS) -> DataFrame:
     """id, source, start, stop, alias, before (so many characters) of each place where an alias stands in
     texts(id, source, text), overlaps and all. aliases: alias, of DEALT_BY characters at least, in the texts' normal form."""
     keys = aliases.select("alias").where("alias <> ''").distinct()
-    size = keys.agg(F.coalesce(F.sum(F.length("alias")), F.lit(0)).alias("chars"), F.coalesce(F.max(F.length("alias")), F.lit(1)).alias("longest"),
-                    F.coalesce(F.min(F.length("alias")), F.lit(DEALT_BY)).alias("shortest")).first()
+    lengths = {r.length: r.n for r in keys.groupBy(F.length("alias").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()}
     texts = texts.select("id", "source", "text").where("text <> ''")
-    if size.chars <= most:
-        found = [r.alias for r in keys.collect()]
-        return _automaton_hits(texts, sorted(found), window) if found else _dealt_hits(texts.limit(0), keys, 1, window)
-    if size.shortest < DEALT_BY:
+    if sum(k * n for k, n in lengths.items()) <= most:
+        return _automaton_hits(texts, sorted(r.alias for r in keys.collect()), window)
+    if min(lengths) < DEALT_BY:
         raise ValueError(f"keys of a dictionary that is dealt have {DEALT_BY} characters at least")
-    return _dealt_hits(texts, keys, size.longest, window)
+    return _dealt_hits(texts, keys, sum(lengths.values()), sorted(lengths), window)
 
 
 def settled(hits: DataFrame, policy: str = LONGEST_FIRST) -> DataFrame:

@@ -108,3 +108,15 @@ def test_profiles_of_awkward_listings(spark):
     assert own.owned_item_ids == own.graduation_rewards == own.bundle_item_ids == own.event_limited_item_ids == ["i1"] and own.collaboration_items == []
     assert [s.target_id for s in made[1].item_sets] == ["s1"] and made[4].collection.sources == ["normalized_feature_summary"]
     assert made[2].collection is None and made[3].collection is None and made[3].resources["values"].white_candles is None and made[2].review_status == "unknown"
+
+
+def test_only_places_that_may_be_keys_leave_their_task(spark):
+    """Long texts with few keys: the join gets little more than the hits, whatever begins like a key."""
+    rng = random.Random(9)
+    keys = ["ab" + "".join(rng.choice("cdef") for _ in range(6)) for _ in range(50)]
+    texts = [(i, "x", "abcd" * 500 + keys[i % 50] + "ab" * 300) for i in range(20)]
+    rows, aliases = spark.createDataFrame(texts, "id long, source string, text string"), spark.createDataFrame([(k,) for k in set(keys)], "alias string")
+    found = lexicon.occurrences(rows, aliases, 4, 0)
+    assert sorted((h.id, h.start, h.alias, h.before) for h in found.collect()) == sorted((i, 2000, keys[i % 50], "abcd") for i, _, _ in texts)
+    plan = found._jdf.queryExecution().optimizedPlan()
+    assert "explode(sequence" not in plan.toString() and "LeftSemi" in plan.toString()
