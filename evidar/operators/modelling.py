@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidar.operators import selection
 from evidar.operators.splits import grouped_folds
 from evidar.sources.stages import staged
 
@@ -111,7 +112,7 @@ class ElasticNet:
         return list(out.reshape(folds, size, size))
 
     def medians(self, rows: DataFrame) -> dict[str, float]:
-        found = rows.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in self.columns]).first()
+        found = selection.medians(rows, {c: F.col(c) for c in self.columns})
         return {c: float(found[c] or 0.0) for c in self.columns}
 
     def fit(self, rows: DataFrame, alpha: float, l1: float) -> dict:
@@ -164,7 +165,7 @@ def nested_cv(rows: DataFrame, net: ElasticNet, group: str, folds: int = 5, grid
     if n < least:
         return {"rows": n, "alpha": None, "l1_ratio": None, "mae": None, "baseline_mae": None, "beats_baseline": None}
     sums = net.fold_moments(folded, folds)
-    outside = folded.agg(*[F.median(F.when(F.col("fold") != k, F.col(c).cast("double"))).alias(f"{c}|{k}") for c in (*net.columns, net.target) for k in range(folds)]).first()
+    outside = selection.medians(folded, {f"{c}|{k}": F.when(F.col("fold") != k, F.col(c)) for c in (*net.columns, net.target) for k in range(folds)} | {c: F.col(c) for c in net.columns})
     medians = [{c: float(outside[f"{c}|{k}"] or 0.0) for c in net.columns} for k in range(folds)]
 
     def choice(inner: list[int], fills: dict[str, float]) -> tuple[float, float]:
@@ -185,7 +186,7 @@ def nested_cv(rows: DataFrame, net: ElasticNet, group: str, folds: int = 5, grid
                    F.sum(F.when(here, F.abs(F.col(net.target) - F.lit(float(outside[f"{net.target}|{k}"] or 0.0))))).alias(f"b{k}")]
     found = folded.agg(F.count(F.lit(1)).alias("n"), *errors).first()
     mae, base = (sum(found[f"{c}{k}"] or 0.0 for k in every) / found.n for c in "eb")
-    alpha, l1 = choice(list(every), net.medians(folded))
+    alpha, l1 = choice(list(every), {c: float(outside[c] or 0.0) for c in net.columns})
     return {"rows": found.n, "alpha": alpha, "l1_ratio": l1, "mae": mae, "baseline_mae": base, "beats_baseline": mae < base}
 
 
