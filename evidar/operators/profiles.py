@@ -31,13 +31,14 @@ def source_texts(listings: DataFrame) -> DataFrame:
 def parsed(texts: DataFrame) -> DataFrame:
     """texts with what each source claims by itself: resources, maps, history and bindings, each for text and for summary."""
     out = {}
+    texts = texts.withColumns({f"parts_{s}": claims.binding_parts(F.col(s)) for s in ("text", "summary")})
     for source in ("text", "summary"):
         said = F.col(source)
         out[f"resources_{source}"] = F.struct(*[claims.resource_claim(said, r).alias(r) for r in claims.RESOURCE_WORDS])
         out[f"maps_{source}"] = claims.map_completion(said)
         out[f"history_{source}"] = claims.ownership_history(said)
-        out[f"bindings_{source}"] = claims.binding_matrix(said)
-    return texts.withColumns(out)
+        out[f"bindings_{source}"] = claims.bindings_of(F.col(f"parts_{source}"))
+    return texts.withColumns(out).drop("parts_text", "parts_summary")
 
 
 def merged_fields(rows: DataFrame) -> DataFrame:
